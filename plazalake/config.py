@@ -123,6 +123,9 @@ def build_session(app: str = "plazalake", master: str | None = None, **conf: str
         # Percentile sketches need object buffers; the default of 128 groups
         # would send almost every market cube through a sort.
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
+        # The JVM never compiles a method above 8000 bytes of bytecode; stages
+        # full of parsing expressions run faster as separate operators then.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

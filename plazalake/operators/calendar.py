@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazalake.config import SEGMENTS, strict_date
@@ -25,20 +25,29 @@ def previous_date(published: DataFrame, day: date, column: str = "ingest_date")
     return published.where(F.col(column) < F.lit(day)).agg(F.max(column)).first()[0]
 
 
-def complete_segments(status: Column, segment: Column) -> Column:
-    """CH3: all four segments have a successful run, as one bit-or (no distinct)."""
-    success = F.lower(status) == "success"
-    bits = [F.when(success & (segment == s), 1 << s) for s in SEGMENTS]
-    reached = F.coalesce(*bits)
-    return F.coalesce(F.bit_or(reached), F.lit(0)) == sum(1 << s for s in SEGMENTS)
+def newest_dates(published: DataFrame, column: str = "ingest_date") -> tuple[date, date | None]:
+    """SI1 and CH1 in one job: the newest published day and the one before it."""
+    top = published.select(column).where(F.col(column).isNotNull()).distinct()
+    days = [row[0] for row in top.orderBy(F.col(column).desc()).limit(2).collect()]
+    if not days:
+        raise ValueError("nothing has been published yet")
+    return days[0], (days[1] if len(days) > 1 else None)
 
 
 def completeness(runs: DataFrame) -> DataFrame:
-    """CH3 for every day: ``ingest_date, is_complete``."""
+    """CH3 for every day: ``ingest_date, segments, is_complete``.
+
+    The set of segments with a successful run is one bit mask per day, so the
+    distinct count merges before the shuffle.
+    """
+    success = F.lower("status") == "success"
+    segment = F.col("search_params.bedrooms")
+    bits = F.coalesce(*[F.when(success & (segment == s), 1 << s) for s in SEGMENTS])
     return (
         runs.where(F.col("_partition_ingest_date").isNotNull())
         .groupBy(F.col("_partition_ingest_date").alias("ingest_date"))
-        .agg(complete_segments(F.col("status"), F.col("search_params.bedrooms")).alias("is_complete"))
+        .agg(F.bit_count(F.coalesce(F.bit_or(bits), F.lit(0))).alias("segments"))
+        .withColumn("is_complete", F.col("segments") == len(SEGMENTS))
     )
 
 
@@ -51,7 +60,7 @@ def is_complete(runs: DataFrame, day: date) -> bool:
 def publication_calendar(snapshots: DataFrame, runs: DataFrame) -> DataFrame:
     """Neighbours of every published day.
 
-    One row per day: ``ingest_date, prev_date, next_date, next_complete``. The
+    ``snapshots`` may be any frame with the same set of days. One row per day: ``ingest_date, prev_date, next_date, next_complete``. The
     list of distinct days is the only thing gathered in one place: it holds one
     4-byte date per calendar day of history, whatever the number of rows.
     """
@@ -62,8 +71,8 @@ def publication_calendar(snapshots: DataFrame, runs: DataFrame) -> DataFrame:
         F.get("_days", F.col("_i") - 1).alias("prev_date"),
         F.get("_days", F.col("_i") + 1).alias("next_date"),
     )
-    upcoming = completeness(runs).withColumnsRenamed(
-        {"ingest_date": "next_date", "is_complete": "next_complete"}
+    upcoming = completeness(runs).select(
+        F.col("ingest_date").alias("next_date"), F.col("is_complete").alias("next_complete")
     )
     return neighbours.join(upcoming, "next_date", "left").select(
         "ingest_date",

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plazalake.functions.measures import relative_change
-from plazalake.operators.joins import lookup_join
 
 COMPARED = ("district", "city", "bedrooms_min", "bedrooms_max", "currency", "price_amount")
 CHANGE_COLUMNS = (
@@ -110,7 +109,8 @@ def with_neighbours(snapshots: DataFrame, calendar: DataFrame) -> DataFrame:
     missing on the next published day and that day is complete).
     """
     by_listing = Window.partitionBy("listing_id").orderBy("ingest_date")
-    dated = lookup_join(snapshots, calendar, ["ingest_date"], "inner")
+    # One row per calendar day: 500 years of history stay below the broadcast bound.
+    dated = snapshots.join(F.broadcast(calendar), "ingest_date")
     return (
         dated.withColumn("cur", sighting())
         .withColumn("_last", F.lag("cur").over(by_listing))

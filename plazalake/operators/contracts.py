@@ -73,16 +73,16 @@ def silver_contract(
 
 
 def gold_contract(
-    market: DataFrame, changes: DataFrame, latest: DataFrame, day_complete: DataFrame
+    market: DataFrame, changes: DataFrame, latest: DataFrame, day_segments: DataFrame
 ) -> DataFrame:
-    """DQ15 over one or more days; ``day_complete`` is ``ingest_date, is_complete``."""
+    """DQ15 over one or more days; ``day_segments`` is the completeness of the same days."""
     first, last = F.col("first_seen_date"), F.col("last_seen_date")
     removed = (
         changes.where(F.col("change_type") == "REMOVED")
         .groupBy("ingest_date")
         .agg(F.count(F.lit(1)).alias("removed"))
     )
-    judged = removed.join(day_complete, "ingest_date", "left")
+    judged = day_segments.join(removed, "ingest_date", "full_outer")
     parts = [
         _rows(market, "market_rows"),
         _rows(changes, "change_rows"),
@@ -102,9 +102,10 @@ def gold_contract(
         _rows(duplicate_keys(latest, ["listing_id"]), "duplicate_latest_keys"),
         _metrics(
             judged,
+            successful_bedroom_segments=F.sum("segments"),
             removed_listings=F.sum("removed"),
             removed_without_complete_snapshot=F.count_if(
-                ~F.coalesce("is_complete", F.lit(False))
+                (F.col("removed") > 0) & ~F.coalesce("is_complete", F.lit(False))
             ),
         ),
     ]
