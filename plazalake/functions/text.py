@@ -18,7 +18,7 @@ DISTRICT_ALIASES = {
 
 def location_parts(location: Column) -> tuple[Column, Column]:
     """BR2: (first, last) non-blank comma part; a single part has no city."""
-    parts = F.filter(F.transform(F.split(location, ","), F.trim), lambda part: part != "")
+    parts = F.filter(F.transform(F.split(location, ","), lambda part: F.trim(part)), lambda part: part != "")
     return (
         F.try_element_at(parts, F.lit(1)),
         F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(-1))),

@@ -8,21 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazalake.operators import calendar, changes, contracts, lifecycle, market, monitors, options
-from plazalake.plans.inputs import manifests
+from plazalake.plans.inputs import manifests, stored
 from plazalake.plans.registry import query
-from plazalake.plans.silver_queries import snapshots, valid_days
+from plazalake.plans.silver_queries import snapshot_table
 
 
 def linked_snapshots(spark, sf_dir) -> DataFrame:
     """Snapshots of all days with their neighbours on the publication calendar."""
-    days = calendar.publication_calendar(valid_days(spark, sf_dir), manifests(spark, sf_dir))
-    return changes.with_neighbours(snapshots(spark, sf_dir), days)
+    snap = snapshot_table(spark, sf_dir)
+    return changes.with_neighbours(
+        snap, calendar.publication_calendar(snap, manifests(spark, sf_dir))
+    )
 
 
 def newest_day(spark, sf_dir):
     """(snapshots, newest day, previous published day)."""
-    day, before = calendar.newest_dates(valid_days(spark, sf_dir))
-    return snapshots(spark, sf_dir), day, before
+    snap = snapshot_table(spark, sf_dir)
+    return snap, *calendar.newest_dates(snap)
+
+
+def market_table(spark, sf_dir) -> DataFrame:
+    """The stored Gold market cube, all days."""
+    return stored(spark, sf_dir, "market_daily_by_district", lambda: market_daily(spark, sf_dir))
 
 
 def market_of_newest_day(spark, sf_dir) -> DataFrame:
@@ -75,7 +82,7 @@ def market_change_metrics(spark, sf_dir):
 @query("SELECT * FROM mcur")
 def market_current(spark, sf_dir):
     """AG1 + AG2 + PX4."""
-    return market.current_market(options.bedroom_options(snapshots(spark, sf_dir)))
+    return market.current_market(options.bedroom_options(snapshot_table(spark, sf_dir)))
 
 
 @query(
@@ -110,13 +117,15 @@ def market_newest_day(spark, sf_dir):
 )
 def market_segment_summary(spark, sf_dir):
     """AG7."""
-    return market.segment_summary(market_of_newest_day(spark, sf_dir))
+    stored_market = market_table(spark, sf_dir)
+    _, day, _ = newest_day(spark, sf_dir)
+    return market.segment_summary(stored_market.where(F.col("ingest_date") == F.lit(day)))
 
 
 @query("SELECT * FROM latest")
 def listing_latest(spark, sf_dir):
     """CH7-CH10 from all history."""
-    return lifecycle.listing_latest(snapshots(spark, sf_dir)).drop("features")
+    return lifecycle.listing_latest(snapshot_table(spark, sf_dir)).drop("features")
 
 
 @query("SELECT * FROM latest")
@@ -147,6 +156,6 @@ def gold_contract(spark, sf_dir):
     return contracts.gold_contract(
         market.market_over_time(linked),
         changes.neighbour_changes(linked),
-        lifecycle.listing_latest(snapshots(spark, sf_dir, places=False)),
+        lifecycle.listing_latest(snapshot_table(spark, sf_dir)),
         calendar.completeness(manifests(spark, sf_dir)),
     )

@@ -9,13 +9,15 @@ All rows of the table are used.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalake.operators.joins import lookup_join
 from plazalake.operators.typing import key_manifests, key_observations, stamp_paths
+from plazalake.sources.tables import scratch_root
 
 BASE_URL = "https://listings.example"
 
@@ -36,6 +38,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _once(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
+def stored(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    build: Callable[[], DataFrame],
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """A layer table derived from ``sf_dir``, written once per application and read back.
+
+    Later layers read the tables of earlier ones, as scheduled jobs do, instead
+    of repeating their parsing in every branch of a plan.
+    """
+
+    def write_and_read() -> DataFrame:
+        app = spark.sparkContext.applicationId
+        tag = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+        path = f"{scratch_root(spark)}/{app}/{tag}/{name}"
+        rows = build()
+        if partition_by:
+            rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return spark.read.parquet(path)
+
+    return _once(spark, ("stored", sf_dir, name), write_and_read)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core on an input that arrives in fewer splits than there are cores.
 

@@ -7,6 +7,7 @@ replacement, a full sync is a staged rewrite behind a location switch.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 from datetime import date
 
@@ -17,6 +18,7 @@ from plazalake.operators.dedup import require_unique, top_per_key
 from plazalake.operators.joins import lookup_join
 
 RUN_LIST_LIMIT = 2_000
+_LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -31,9 +33,10 @@ def scratch_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_SCRATCH[app]
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:

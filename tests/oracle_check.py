@@ -15,6 +15,9 @@ TABLES = (
 ).split()
 
 
+ORACLE_SECONDS: list[float] = []
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -37,9 +40,11 @@ def compare(spark, con, build, sql: str, sf_dir: str) -> str | None:
     """None when both results agree, else what differs."""
     frame = build(spark, sf_dir)
     got = frame.collect()
+    mark = time.time()
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     want = result.fetchall()
+    ORACLE_SECONDS.append(time.time() - mark)
     if sorted(frame.columns) != sorted(names):
         return f"columns: {sorted(frame.columns)} != {sorted(names)}"
     mine, theirs = _rows(frame.columns, got), _rows(names, want)
@@ -78,7 +83,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         except Exception as error:  # noqa: BLE001 - report and go on
             problem, note = error, f"ERROR {type(error).__name__}: {str(error)[:700]}"
         bad += problem is not None
-        print(f"{name:40s} {time.time() - start:6.2f}s {note}", flush=True)
+        print(f"{name:40s} {time.time() - start:6.2f}s (oracle {ORACLE_SECONDS[-1] if ORACLE_SECONDS else 0:5.2f}s) {note}", flush=True)
     spark.stop()
     return bad
 
