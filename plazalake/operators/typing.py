@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plazalake.functions import keys as K
 from plazalake.functions import parsing as P
 from plazalake.operators.joins import lookup_join
+from plazalake.schemas import LISTING_SCHEMA
 
 
 def stamp_paths(df: DataFrame, path: str = "_bronze_source_file") -> DataFrame:
@@ -120,10 +121,15 @@ def snapshot_columns(canonical: DataFrame) -> DataFrame:
 def refresh_typed(bronze: DataFrame) -> DataFrame:
     """SR1-SR5: the full-refresh profile keeps every bronze row and column."""
     number = P.grouped_number
+    # An inferred schema lacks the fields no record of the file had.
+    absent = [f for f in LISTING_SCHEMA.fields if f.name not in bronze.columns]
+    bronze = bronze.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
     typed = bronze.withColumns(
         {
             "currency_clean": P.refresh_currency(F.col("price_raw"), F.col("currency")),
-            "price_amount": F.coalesce("price_min", number(F.col("price_raw"))),
+            "price_amount": F.coalesce(
+                F.col("price_min").cast("string").try_cast("double"), number(F.col("price_raw"))
+            ),
             "maintenance_amount": number(F.col("maintenance_raw")),
             "area_min_m2": number(F.col("area_raw")),
             "bedrooms_min": number(F.col("bedrooms_raw")).try_cast("int"),

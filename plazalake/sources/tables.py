@@ -136,10 +136,14 @@ def replace_date(
     ordered = _in_table_order(df, table)
     rows = _written(_balanced(ordered, ()), table, overwrite=True)
     if rows == 0:
-        others = [c for c in ordered.columns if c != column]
+        nothing = ", ".join(
+            f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in ordered.schema.fields
+            if f.name != column
+        )
         df.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = DATE'{day.isoformat()}') "
-            f"SELECT {', '.join(f'`{c}`' for c in others)} FROM {table} WHERE false"
+            f"SELECT {nothing} FROM range(0)"
         )
     return rows
 
