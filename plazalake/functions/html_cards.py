@@ -30,10 +30,16 @@ VOID_TAGS = frozenset(
 
 
 class _Element:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "before", "children", "last", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.before: _Element | None = None  # previous sibling element
+        self.last: _Element | None = None  # last child element
+
+    def add(self, child: _Element) -> None:
+        child.before, self.last = self.last, child
+        self.children.append(child)
 
     def walk(self) -> Iterator[_Element]:
         """Descendant elements in document order, without recursion."""
@@ -63,12 +69,12 @@ class _TreeReader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         element = _Element(tag, {name: value or "" for name, value in attrs})
-        self._open[-1].children.append(element)
+        self._open[-1].add(element)
         if tag not in VOID_TAGS:
             self._open.append(element)
 
     def handle_startendtag(self, tag, attrs):
-        self._open[-1].children.append(_Element(tag, {n: v or "" for n, v in attrs}))
+        self._open[-1].add(_Element(tag, {n: v or "" for n, v in attrs}))
 
     def handle_endtag(self, tag):
         for depth in range(len(self._open) - 1, 0, -1):
@@ -90,12 +96,7 @@ def _card(element: _Element, page_url: str) -> dict:
         for field, mark in TEXT_MARKS.items()
     }
     place = marked.get(TEXT_MARKS["location"])
-    street = None
-    for parent in (element, *inside):
-        siblings = [c for c in parent.children if isinstance(c, _Element)]
-        at = next((i for i, c in enumerate(siblings) if c is place), 0)
-        if at:
-            street = siblings[at - 1].text()
+    street = place.before.text() if place and place.before else None
     pills = [e.text() for e in inside if AMENITY_CLASS in e.attrs.get("class", "")]
     image = next((e for e in inside if e.tag == "img"), None)
     return {

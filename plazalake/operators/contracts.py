@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plazalake.operators.dedup import duplicate_keys
 from plazalake.operators.joins import lookup_join
 
 SILVER_CHECKS = (
@@ -42,6 +41,13 @@ def _rows(df: DataFrame, name: str) -> DataFrame:
     return _metrics(df, **{name: F.count(F.lit(1))})
 
 
+def _per_key(df: DataFrame, keys: list[str], **measures: Column) -> DataFrame:
+    """Row count (and more) per key: totals and duplicates then come from one pass."""
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), *[m.alias(name) for name, m in measures.items()]
+    )
+
+
 def silver_contract(
     snapshot: DataFrame, runs: DataFrame, options: DataFrame, rejected: DataFrame
 ) -> DataFrame:
@@ -55,13 +61,14 @@ def silver_contract(
     in_range = F.expr(
         "coalesce(bedrooms_min >= 1 AND bedrooms_max <= 4 AND bedrooms_min <= bedrooms_max, false)"
     )
+    per_key = _per_key(snapshot, ["ingest_date", "listing_id"], outside=F.count_if(~in_range))
     parts = [
         _metrics(
-            snapshot,
-            canonical_rows=F.count(F.lit(1)),
-            invalid_bedroom_ranges=F.count_if(~in_range),
+            per_key,
+            canonical_rows=F.sum("rows"),
+            duplicate_snapshot_keys=F.count_if(F.col("rows") > 1),
+            invalid_bedroom_ranges=F.sum("outside"),
         ),
-        _rows(duplicate_keys(snapshot, ["ingest_date", "listing_id"]), "duplicate_snapshot_keys"),
         _rows(
             lookup_join(snapshot, vouched, ["run_id"], "left_anti"),
             "rows_without_successful_manifest",
@@ -77,37 +84,45 @@ def gold_contract(
 ) -> DataFrame:
     """DQ15 over one or more days; ``day_segments`` is the completeness of the same days."""
     first, last = F.col("first_seen_date"), F.col("last_seen_date")
-    removed = (
-        changes.where(F.col("change_type") == "REMOVED")
+    twice, removed = F.col("rows") > 1, F.col("change_type") == "REMOVED"
+    per_day = (
+        _per_key(changes, ["ingest_date", "listing_id", "change_type"])
         .groupBy("ingest_date")
-        .agg(F.count(F.lit(1)).alias("removed"))
+        .agg(
+            F.sum("rows").alias("changes"),
+            F.count_if(twice).alias("repeated"),
+            F.sum(F.when(removed, F.col("rows"))).alias("removed"),
+        )
+        .join(day_segments, "ingest_date", "full_outer")
+    )
+    lives = _per_key(
+        latest,
+        ["listing_id"],
+        active=F.count_if("is_active"),
+        broken=F.count_if(~F.coalesce(first <= last, F.lit(False))),
     )
-    judged = day_segments.join(removed, "ingest_date", "full_outer")
     parts = [
-        _rows(market, "market_rows"),
-        _rows(changes, "change_rows"),
         _metrics(
-            latest,
-            current_active_listings=F.count_if("is_active"),
-            invalid_latest_lifecycle=F.count_if(~F.coalesce(first <= last, F.lit(False))),
-        ),
-        _rows(
-            duplicate_keys(market, ["ingest_date", "district", "bedrooms", "currency"]),
-            "duplicate_market_keys",
-        ),
-        _rows(
-            duplicate_keys(changes, ["ingest_date", "listing_id", "change_type"]),
-            "duplicate_change_keys",
+            _per_key(market, ["ingest_date", "district", "bedrooms", "currency"]),
+            market_rows=F.sum("rows"),
+            duplicate_market_keys=F.count_if(twice),
         ),
-        _rows(duplicate_keys(latest, ["listing_id"]), "duplicate_latest_keys"),
         _metrics(
-            judged,
+            per_day,
+            change_rows=F.sum("changes"),
+            duplicate_change_keys=F.sum("repeated"),
             successful_bedroom_segments=F.sum("segments"),
             removed_listings=F.sum("removed"),
             removed_without_complete_snapshot=F.count_if(
                 (F.col("removed") > 0) & ~F.coalesce("is_complete", F.lit(False))
             ),
         ),
+        _metrics(
+            lives,
+            current_active_listings=F.sum("active"),
+            duplicate_latest_keys=F.count_if(twice),
+            invalid_latest_lifecycle=F.sum("broken"),
+        ),
     ]
     return reduce(DataFrame.unionByName, parts)
 

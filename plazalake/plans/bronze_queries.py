@@ -12,10 +12,11 @@ from plazalake.operators import cards, dedup, monitors
 from plazalake.operators.joins import lookup_join
 from plazalake.plans.inputs import (
     BASE_URL,
-    _events,
+    crawl_events,
     listings,
     manifests,
     observations,
+    spread_table,
     table,
 )
 from plazalake.plans.registry import query
@@ -103,12 +104,13 @@ def bronze_search_domain(spark, sf_dir):
 )
 def bronze_search_stamp(spark, sf_dir):
     """BR8 + BR9: search metadata with a run id made from a scheduler's id."""
-    ev = _events(spark, sf_dir)
+    ev = crawl_events(spark, sf_dir)
     external = F.concat(F.lit("_scheduled__"), F.col("day").cast("string"), F.lit("T05:00:00+00:00"))
     stamped = cards.stamp_search(
         ev,
         SearchSpec(bedrooms=2),
         BASE_URL,
+    crawl_events,
         stable_run_id(external, F.col("seg")),
         F.col("page"),
         F.col("ts").cast("string"),
@@ -138,7 +140,7 @@ CARD_HTML = """concat('<div data-qa="posting PROPERTY" data-id="', user_id,
 def card_pages(spark, sf_dir):
     """Result pages in the crawled markup, one or two cards each, one page per event."""
     second = CARD_HTML.replace('data-id="\', user_id', 'data-id="\', user_id + 1')
-    return _events(spark, sf_dir).selectExpr(
+    return crawl_events(spark, sf_dir).selectExpr(
         "event_id",
         "day",
         "seg",
@@ -183,7 +185,7 @@ def bronze_page_cards(spark, sf_dir):
 )
 def bronze_marked_pages(spark, sf_dir):
     """BR5 on the raw web pages: each article is marked up as a card and found again."""
-    marked = table(spark, sf_dir, "pages").selectExpr(
+    marked = spread_table(spark, sf_dir, "pages", "page_id").selectExpr(
         "page_id",
         "url AS page_url",
         "url",
@@ -262,7 +264,7 @@ def bronze_page_yield(spark, sf_dir):
 )
 def bronze_rescued_lines(spark, sf_dir):
     """IO5: unknown keys, mistyped values and broken lines are kept as rescued data."""
-    lines = _events(spark, sf_dir).selectExpr(
+    lines = crawl_events(spark, sf_dir).selectExpr(
         "event_id",
         """CASE WHEN event_id % 6 = 0 THEN concat('not json ', event_id) ELSE concat(
           '{"listing_id":"', user_id, '","price_min":',

@@ -151,11 +151,10 @@ def listing_latest_advanced(spark, sf_dir):
     UNION ALL SELECT 'removed_without_complete_snapshot', 0"""
 )
 def gold_contract(spark, sf_dir):
-    """DQ15 over all days."""
-    linked = linked_snapshots(spark, sf_dir)
+    """DQ15 over all days; the market is the stored table."""
     return contracts.gold_contract(
-        market.market_over_time(linked),
-        changes.neighbour_changes(linked),
+        market_table(spark, sf_dir),
+        listing_changes(spark, sf_dir),
         lifecycle.listing_latest(snapshot_table(spark, sf_dir)),
         calendar.completeness(manifests(spark, sf_dir)),
     )

@@ -75,8 +75,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    return _once(
+        spark, ("spread", sf_dir, name), lambda: spread(table(spark, sf_dir, name), key)
+    )
+
+
+def crawl_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_table(spark, sf_dir, "events", "event_id").selectExpr(
         "event_id", "ts", "user_id", "event_type", "value", "props",
         "cast(ts AS date) AS day",
         "cast(1 + user_id % 4 AS int) AS seg",
@@ -107,9 +113,7 @@ def listings(spark: SparkSession, sf_dir: str, places: bool = True) -> DataFrame
     ``places=False`` leaves the district empty and saves the customer lookup
     for queries that never look at it.
     """
-    ev = _once(
-        spark, ("spread", sf_dir), lambda: spread(_events(spark, sf_dir), "event_id")
-    )
+    ev = crawl_events(spark, sf_dir)
     if places:
         customer = table(spark, sf_dir, "customer").selectExpr(
             "c_custkey AS user_id", "c_nationkey AS n_nationkey"
@@ -174,7 +178,7 @@ def observations(spark: SparkSession, sf_dir: str, places: bool = True) -> DataF
 def raw_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One manifest per (day, segment) of the events; segment 3 uses the legacy names."""
     per_run = (
-        _events(spark, sf_dir)
+        crawl_events(spark, sf_dir)
         .groupBy("day", "seg")
         .agg(
             F.count(F.lit(1)).alias("n"),

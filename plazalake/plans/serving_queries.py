@@ -11,7 +11,7 @@ from plazalake.functions.measures import bracket_index, bracket_label
 from plazalake.functions.text import district_key, name_key
 from plazalake.operators import serving
 from plazalake.plans.gold_queries import market_table
-from plazalake.plans.inputs import table
+from plazalake.plans.inputs import spread_table, table
 from plazalake.plans.oracle_sql import CTES
 from plazalake.plans.registry import query
 from plazalake.sources import exports, tables
@@ -345,7 +345,7 @@ def serving_payload_document(spark, sf_dir):
 )
 def text_name_keys(spark, sf_dir):
     """SV4 over the whole document texts."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents", "doc_id")
     return documents.select("doc_id", name_key(F.col("text")).alias("text_key"))
 
 

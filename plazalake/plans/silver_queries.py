@@ -188,8 +188,8 @@ def silver_options_summary(spark, sf_dir):
     UNION ALL SELECT 'quarantined_rule_violations', (SELECT COUNT(*) FROM failures)"""
 )
 def silver_contract(spark, sf_dir):
-    """DQ14 over all days."""
-    snap = snapshots(spark, sf_dir, places=False)
+    """DQ14 over all days of the stored snapshot."""
+    snap = snapshot_table(spark, sf_dir)
     rejected = quality.quarantine(judged(spark, sf_dir, places=False))
     return contracts.silver_contract(
         snap, manifests(spark, sf_dir), options.bedroom_options(snap), rejected
