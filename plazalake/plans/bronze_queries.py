@@ -110,7 +110,6 @@ def bronze_search_stamp(spark, sf_dir):
         ev,
         SearchSpec(bedrooms=2),
         BASE_URL,
-    crawl_events,
         stable_run_id(external, F.col("seg")),
         F.col("page"),
         F.col("ts").cast("string"),
