@@ -51,7 +51,7 @@ def _per_key(df: DataFrame, keys: list[str], **measures: Column) -> DataFrame:
 def silver_contract(
     snapshot: DataFrame, runs: DataFrame, options: DataFrame, rejected: DataFrame
 ) -> DataFrame:
-    """DQ14: ``metric, value``; any success manifest of the run counts, whatever its day."""
+    """DQ14/JN11: ``metric, value``; any success manifest of the run counts, whatever its day."""
     vouched = (
         runs.where(F.lower("status") == "success")
         .select("run_id")

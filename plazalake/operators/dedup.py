@@ -19,7 +19,7 @@ def top_per_key(df: DataFrame, keys: Sequence, order: Sequence[Column], n: int =
 
 
 def latest_observation(valid: DataFrame, tie_breakers: Sequence[str] = ()) -> DataFrame:
-    """ST1: the canonical observation of each listing and day."""
+    """ST1/WN2: the canonical observation of each listing and day."""
     return top_per_key(
         valid,
         ["ingest_date", "listing_id"],

@@ -1,4 +1,4 @@
-"""Operational summaries (BR16, BR17, DQ16, DQ17, PX2, CH11)."""
+"""Operational summaries, ordered for reading (SO1, BR16, BR17, DQ16, DQ17, PX2, CH11)."""
 
 from __future__ import annotations
 

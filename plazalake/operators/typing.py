@@ -41,7 +41,7 @@ def key_manifests(df: DataFrame) -> DataFrame:
 
 
 def successful_runs(runs: DataFrame) -> DataFrame:
-    """SI2: distinct (run, day) pairs with a successful manifest."""
+    """SI2/SE1: distinct (run, day) pairs with a successful manifest."""
     return (
         runs.where(F.lower("status") == "success")
         .select(
@@ -55,7 +55,7 @@ def successful_runs(runs: DataFrame) -> DataFrame:
 
 
 def typed_observations(bronze: DataFrame, runs: DataFrame) -> DataFrame:
-    """SI3-SI15: flag the manifest gate and type every field.
+    """SI3-SI15/JN1: flag the manifest gate and type every field.
 
     Works on one day or on all days at once: a run only vouches for
     observations of its own day.

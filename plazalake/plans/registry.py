@@ -34,4 +34,5 @@ def load_all() -> None:
         serving_queries,
         silver_queries,
         slo_queries,
+        table_queries,
     )

@@ -1,4 +1,4 @@
-"""Keyed table maintenance on plain Parquet tables.
+"""Keyed table maintenance on plain Parquet tables (JN12).
 
 Plain tables have no MERGE. Each keyed write of the data product has an exact
 equivalent: insert-only is an anti join plus append, a date sync is a partition
@@ -46,7 +46,7 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def ensure_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """IO12: create an empty table with the frame's schema when it is missing."""
+    """IO12/SO2: create an empty table with the frame's schema when it is missing."""
     if not df.sparkSession.catalog.tableExists(table):
         df.limit(0).write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
 
