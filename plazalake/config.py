@@ -24,6 +24,7 @@ class EngineConfig:
     checkpoint_root: str
     listing_glob: str = "listings_*.jsonl"
     manifest_glob: str = "manifest_*.json"
+    max_files_per_batch: int = 1000  # a backlog is worked off in bounded micro-batches
 
     def __post_init__(self) -> None:
         if not self.namespace.strip():

@@ -8,7 +8,8 @@ replacement, a full sync is a staged rewrite behind a location switch.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,6 +19,7 @@ from plazalake.operators.dedup import require_unique, top_per_key
 from plazalake.operators.joins import lookup_join
 
 RUN_LIST_LIMIT = 2_000
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -60,12 +62,26 @@ def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns]) if columns else df.hint("rebalance")
 
 
+@contextmanager
+def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
+    """Overwrite the partitions a frame holds and no others, whatever the session says.
+
+    Inserts into a catalog table obey the session setting, not a writer option.
+    """
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def _written(df: DataFrame, table: str, overwrite: bool) -> int:
     """Write once and report the number of rows written, without a second pass."""
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode("overwrite" if overwrite else "append")
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=overwrite)
+    with _only_written_partitions(df.sparkSession):
+        counted.write.insertInto(table, overwrite=overwrite)
     return seen.get["rows"]
 
 

@@ -10,7 +10,7 @@ from plazalake.sources.landed import bronze_listings, bronze_manifests
 from plazalake.sources.tables import insert_only
 
 
-def _files(spark: SparkSession, path: str, glob: str, whole: bool) -> DataFrame:
+def _files(spark: SparkSession, path: str, glob: str, whole: bool, max_files: int) -> DataFrame:
     # The recursive lookup keeps folder names out of the schema; partition
     # values are read from the path instead.
     return (
@@ -18,18 +18,23 @@ def _files(spark: SparkSession, path: str, glob: str, whole: bool) -> DataFrame:
         .option("wholetext", str(whole).lower())
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
+        .option("maxFilesPerTrigger", str(max_files))
         .load(path)
     )
 
 
-def listings_stream(spark: SparkSession, path: str, glob: str) -> DataFrame:
+def listings_stream(
+    spark: SparkSession, path: str, glob: str, max_files: int = 1000
+) -> DataFrame:
     """IO1: one row per landed line."""
-    return bronze_listings(_files(spark, path, glob, whole=False))
+    return bronze_listings(_files(spark, path, glob, False, max_files))
 
 
-def manifests_stream(spark: SparkSession, path: str, glob: str) -> DataFrame:
+def manifests_stream(
+    spark: SparkSession, path: str, glob: str, max_files: int = 1000
+) -> DataFrame:
     """IO2: one row per file; manifests may be pretty-printed over many lines."""
-    return bronze_manifests(_files(spark, path, glob, whole=True))
+    return bronze_manifests(_files(spark, path, glob, True, max_files))
 
 
 def _run_once(stream: DataFrame, table: str, key: str, run_column: str, checkpoint: str) -> None:
@@ -58,7 +63,9 @@ def _run_once(stream: DataFrame, table: str, key: str, run_column: str, checkpoi
 def ingest_listings(spark: SparkSession, config: EngineConfig) -> None:
     """IO8: ingest every listing file not seen by the checkpoint, then stop."""
     _run_once(
-        listings_stream(spark, config.raw_path, config.listing_glob),
+        listings_stream(
+            spark, config.raw_path, config.listing_glob, config.max_files_per_batch
+        ),
         config.listings_raw,
         "_bronze_observation_key",
         "_run_id",
@@ -69,7 +76,9 @@ def ingest_listings(spark: SparkSession, config: EngineConfig) -> None:
 def ingest_manifests(spark: SparkSession, config: EngineConfig) -> None:
     """IO8 for the run manifests."""
     _run_once(
-        manifests_stream(spark, config.raw_path, config.manifest_glob),
+        manifests_stream(
+            spark, config.raw_path, config.manifest_glob, config.max_files_per_batch
+        ),
         config.ingestion_runs,
         "_bronze_manifest_key",
         "run_id",

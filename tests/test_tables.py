@@ -26,7 +26,9 @@ def test_insert_only_adds_each_key_once(spark, database):
     assert rows_of(spark, table, "key", "v") == [("a", 2), ("b", 1), ("n", 1)]
 
 
-def test_replace_date_swaps_only_that_day(spark, database):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_replace_date_swaps_only_that_day(spark, database, mode):
+    spark.conf.set(tables.OVERWRITE_MODE, mode)
     table = f"{database}.snap"
     schema = "k string, ingest_date date, v int"
     tables.replace_date(spark.createDataFrame([("a", D1, 1), ("b", D1, 1)], schema), table, D1)
@@ -38,6 +40,8 @@ def test_replace_date_swaps_only_that_day(spark, database):
     with pytest.raises(ValueError):
         twice = spark.createDataFrame([("a", D1, 1), ("a", D1, 2)], schema)
         tables.replace_date(twice, table, D1, keys=["k"])
+    assert spark.conf.get(tables.OVERWRITE_MODE) == mode
+    spark.conf.set(tables.OVERWRITE_MODE, "dynamic")
 
 
 def test_replace_all_may_read_its_own_table(spark, database, tmp_path):
@@ -98,3 +102,25 @@ def test_manifest_contract(spark):
 
 def test_scratch_root_prefers_the_shared_folder(spark):
     assert tables.scratch_root(spark) == tables.scratch_root(spark)
+
+
+def test_rewriting_a_run_keeps_the_others(spark, tmp_path):
+    def landed_rows(run, n):
+        rows = spark.range(n).selectExpr("cast(id AS string) AS listing_id", f"'{run}' AS _run_id")
+        given = {f.name: F.lit(None).cast(f.dataType) for f in LISTING_SCHEMA if f.name not in rows.columns}
+        search = F.expr(
+            "named_struct('operation','alquiler','property_type','casas','location','lima','bedrooms',1)"
+        )
+        return rows.withColumns({**given, "_search_params": search, "ingest_date": F.lit(D1)})
+
+    root = str(tmp_path / "raw")
+    spark.conf.set(tables.OVERWRITE_MODE, "static")
+    for run, n in (("r1", 3), ("r2", 2), ("r1", 1)):
+        landed.write_landing(landed_rows(run, n), root, "web")
+    spark.conf.set(tables.OVERWRITE_MODE, "dynamic")
+    files = spark.read.option("recursiveFileLookup", "true").text(root)
+    bronze = landed.bronze_listings(files)
+    counts = dict(map(tuple, bronze.groupBy("_run_id").count().collect()))
+    assert counts == {"r1": 1, "r2": 2}
+    assert bronze.select("_partition_bedrooms", F.col("_partition_ingest_date")).distinct().collect() == [(1, D1)]
+    assert "/property=casa/" in bronze.first()["_bronze_source_file"]
