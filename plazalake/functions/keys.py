@@ -34,12 +34,12 @@ def manifest_key(run_id: Column, source_file: Column) -> Column:
 
 def path_date(path: Column) -> Column:
     """IO7: ``ingest_date=`` directory value, NULL when absent or not a date."""
-    return F.nullif(F.regexp_extract(path, r"ingest_date=([^/]+)", 1), F.lit("")).try_cast("date")
+    return F.regexp_extract(path, r"ingest_date=([^/]+)", 1).try_cast("date")
 
 
 def path_bedrooms(path: Column) -> Column:
     """IO7: ``bedrooms=`` directory value, NULL when absent or not a number."""
-    return F.nullif(F.regexp_extract(path, r"bedrooms=(\d+)", 1), F.lit("")).try_cast("int")
+    return F.regexp_extract(path, r"bedrooms=(\d+)", 1).try_cast("int")
 
 
 def stable_run_id(external_id: Column, segment: Column) -> Column:

@@ -32,9 +32,19 @@ SOL_TEXT = r"(?i)S/|PEN"
 KNOWN_CURRENCIES = ("PEN", "USD")
 
 
+def matched(text: Column, pattern: str) -> Column:
+    """First capture group of ``pattern``, '' without a match.
+
+    Integer parsers use this form: ``try_cast`` turns '' into NULL cheaply. For
+    doubles it would raise and catch an exception per row, so those parsers take
+    ``first_match``.
+    """
+    return F.regexp_extract(text, pattern, 1)
+
+
 def first_match(text: Column, pattern: str) -> Column:
     """First capture group of ``pattern`` or NULL (also for NULL text)."""
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return F.nullif(matched(text, pattern), F.lit(""))
 
 
 # --- canonical profile ------------------------------------------------------
@@ -42,7 +52,7 @@ def first_match(text: Column, pattern: str) -> Column:
 
 def price_amount(price_min: Column, price_raw: Column) -> Column:
     """SI4: exposed numeric minimum, else all digits of the first number."""
-    digits = F.regexp_replace(first_match(price_raw, PRICE_DIGITS), "[^0-9]", "")
+    digits = F.translate(first_match(price_raw, PRICE_DIGITS), ",.", "")
     return F.coalesce(price_min.cast("double"), digits.try_cast("double"))
 
 
@@ -65,9 +75,9 @@ def area_min(area_raw: Column) -> Column:
     return _decimal(first_match(area_raw, LEADING_DECIMAL))
 
 
-def area_max(area_raw: Column) -> Column:
+def area_max(area_raw: Column, lower_end: Column) -> Column:
     """SI6: number after ``a`` or ``-``, else the minimum."""
-    return F.coalesce(_decimal(first_match(area_raw, RANGE_END_DECIMAL)), area_min(area_raw))
+    return F.coalesce(_decimal(first_match(area_raw, RANGE_END_DECIMAL)), lower_end)
 
 
 def bedrooms_min(bedrooms_raw: Column, searched: Column, path_segment: Column) -> Column:
@@ -77,12 +87,12 @@ def bedrooms_min(bedrooms_raw: Column, searched: Column, path_segment: Column) -
 
 def bedrooms_max(bedrooms_raw: Column, lower_end: Column) -> Column:
     """SI8: end of the range text, else the minimum."""
-    return F.coalesce(first_match(bedrooms_raw, RANGE_END_INTEGER).try_cast("int"), lower_end)
+    return F.coalesce(matched(bedrooms_raw, RANGE_END_INTEGER).try_cast("int"), lower_end)
 
 
 def leading_integer(text: Column) -> Column:
     """SI8/SI9: integer at the start of the text."""
-    return first_match(text, LEADING_INTEGER).try_cast("int")
+    return matched(text, LEADING_INTEGER).try_cast("int")
 
 
 def place_name(text: Column, default: str) -> Column:

@@ -73,7 +73,6 @@ def typed_observations(bronze: DataFrame, runs: DataFrame) -> DataFrame:
             "currency": P.price_currency(F.col("price_raw"), F.col("currency")),
             "price_amount": P.price_amount(F.col("price_min"), F.col("price_raw")),
             "area_min_m2": P.area_min(F.col("area_raw")),
-            "area_max_m2": P.area_max(F.col("area_raw")),
             "bedrooms_min": P.bedrooms_min(
                 F.col("bedrooms_raw"),
                 F.col("_search_params.bedrooms"),
@@ -85,12 +84,17 @@ def typed_observations(bronze: DataFrame, runs: DataFrame) -> DataFrame:
             "raw_payload": F.to_json("_raw"),
         }
     )
-    # Second projection: columns that read the typed ones.
+    # Later projections read the typed columns instead of parsing again.
+    typed = typed.withColumns(
+        {
+            "area_max_m2": P.area_max(F.col("area_raw"), F.col("area_min_m2")),
+            "bedrooms_max": P.bedrooms_max(F.col("bedrooms_raw"), F.col("bedrooms_min")),
+        }
+    )
     area_avg = (F.col("area_min_m2") + F.col("area_max_m2")) / 2.0
     return typed.withColumns(
         {
             "area_avg_m2": area_avg,
-            "bedrooms_max": P.bedrooms_max(F.col("bedrooms_raw"), F.col("bedrooms_min")),
             "price_per_m2": P.unit_price(F.col("price_amount"), area_avg),
             "source_observation_key": F.coalesce(
                 F.col("_bronze_observation_key"),

@@ -72,7 +72,7 @@ def test_areas_in_both_profiles(spark):
     df = spark.createDataFrame([(a[0],) for a in AREAS], "raw string")
     raw = F.col("raw")
     low = P.grouped_number(raw)
-    rows = df.select(raw, P.area_min(raw), P.area_max(raw), low, P.grouped_range_end(raw, low))
+    rows = df.select(raw, P.area_min(raw), P.area_max(raw, P.area_min(raw)), low, P.grouped_range_end(raw, low))
     assert [tuple(r) for r in rows.collect()] == AREAS
 
 
