@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazalake.llm import chat_format, chunk_recipes, fair_mix, simhash, token_files
-from plazalake.llm.common import table, written
+from plazalake.llm import (
+    archives,
+    benchmark_seeds,
+    chat_format,
+    chunk_recipes,
+    fair_mix,
+    pii,
+    simhash,
+    token_files,
+    toxicity,
+)
+from plazalake.llm.common import fresh_path, table, written
 from plazalake.llm.sql import CHAT_FORMAT, CHUNK_RECIPES, FAIR_MIX
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +35,30 @@ def _query(sql: str | None = None):
     return register
 
 
+@_query()
+def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arc, warc = fresh_path(spark, "arc"), fresh_path(spark, "warc")
+    archives.write_arc(table(spark, sf_dir, "pages"), arc)
+    archives.convert(spark, arc, warc)
+    read = written(archives.read_warc(spark, warc), "warc-records")
+    first = read.select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
+    return read.join(first, "refers_to_id", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@_query()
+def op2_benchmark_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_seeds.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id"
+    )
+
+
+@_query()
+def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query(CHUNK_RECIPES)
 def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.deduplicate(table(spark, sf_dir, "documents"))
@@ -40,6 +74,24 @@ def op7_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix(table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.annotate(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        names = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(names, ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans")
+    )
+
+
 @_query()
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
