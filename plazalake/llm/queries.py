@@ -14,6 +14,7 @@ from plazalake.llm import (
     chunk_recipes,
     fair_mix,
     pii,
+    repeated_bytes,
     simhash,
     token_files,
     toxicity,
@@ -69,6 +70,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_documents(table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.remove_repeated(table(spark, sf_dir, "documents"))
+
+
 @_query(FAIR_MIX)
 def op7_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix(table(spark, sf_dir, "documents"))
