@@ -1,48 +1,18 @@
-"""Lookup joins that stay safe when a side grows or a key is hot."""
+"""Lookup joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
 
-BROADCAST_ROWS = 200_000
-SALTS = 16
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows; no more than that is ever read back."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a large frame with a lookup that is unique on ``on``.
 
-    A lookup whose measured size is small is broadcast and ``fact`` is not
-    shuffled. Beyond the bound both sides are shuffled on the key plus a salt:
-    rows of a hot (or NULL) key spread over ``salts`` tasks, and the lookup is
-    repeated per salt. The salt is a hash of the row, so a recomputed task
-    sends every row to the same place as before.
-
-    ``how`` may be inner, left, left_semi or left_anti: in all four each fact
-    row meets each lookup row exactly once whatever its salt.
+    How the sides meet is left to adaptive execution, which knows their measured bytes: a
+    small lookup is broadcast, and of a large one's join the partitions of a hot (or
+    NULL) key are split. So ``how`` is one in which rows of ``fact`` may be split:
+    each meets its lookup row once, and a lookup row may come in several tasks.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")
-    if fits_broadcast(lookup, max_rows):
-        return fact.join(F.broadcast(lookup), on, how)
-    hashable = [
-        F.col(f"`{f.name}`")
-        for f in fact.schema.fields
-        if not isinstance(f.dataType, (MapType, VariantType))
-    ]
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return fact.join(lookup, on, how)

@@ -34,17 +34,13 @@ def _database(spark) -> tuple[str, str]:
 def table_insert_only(spark, sf_dir):
     """BR13/JN12: early lines first, then all lines, then all again (adds nothing)."""
     name, _ = _database(spark)
-    lines = table(spark, sf_dir, "lineitem").withColumns(
-        {
-            "line_key": F.concat_ws("||", "l_orderkey", "l_linenumber"),
-            # The key must follow from the run: orders are dealt to 64 runs.
-            "run": F.pmod("l_orderkey", F.lit(64)).cast("string"),
-        }
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "line_key", F.concat_ws("||", "l_orderkey", "l_linenumber")
     )
     order = [F.col(c).desc() for c in ("l_shipdate", "l_extendedprice", "l_partkey")]
     early = lines.where("l_shipdate < timestamp_ntz'1998-01-01 00:00:00'")
     for batch in (early, lines, lines):
-        tables.insert_only(batch, f"{name}.lines", "line_key", order, "run")
+        tables.insert_only(batch, f"{name}.lines", "line_key", order)
     return spark.table(f"{name}.lines").select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
@@ -84,6 +80,48 @@ def table_full_sync(spark, sf_dir):
     return spark.table(target)
 
 
+@query(
+    """SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders
+    GROUP BY o_custkey"""
+)
+def table_insert_only_across_runs(spark, sf_dir):
+    """BR13: years arrive one by one in daily runs; a customer stored under one run stays so."""
+    name, _ = _database(spark)
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey", "o_orderkey", "cast(o_orderdate AS string) AS run", "o_orderdate"
+    )
+    order = [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()]
+    for years in ("< 1994", "BETWEEN 1994 AND 1996", "> 1996", "> 0"):
+        batch = orders.where(f"year(o_orderdate) {years}")
+        tables.insert_only(batch, f"{name}.first_orders", "o_custkey", order)
+    return spark.table(f"{name}.first_orders").select("o_custkey", "o_orderkey")
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN floor(o_totalprice)
+        ELSE o_totalprice END AS amount,
+      CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' THEN o_orderpriority END AS priority
+    FROM orders"""
+)
+def table_append_widening(spark, sf_dir):
+    """IO14: whole prices first; later runs bring fractions and a field inside a struct."""
+    name, _ = _database(spark)
+    rows = table(spark, sf_dir, "orders")
+    early = rows.where("o_orderdate < timestamp_ntz'1996-01-01 00:00:00'").selectExpr(
+        "o_orderkey", "cast(floor(o_totalprice) AS bigint) AS amount",
+        "named_struct('clerk', o_orderstatus) AS detail", "cast(o_orderdate AS string) AS run",
+    )
+    late = rows.where("o_orderdate >= timestamp_ntz'1996-01-01 00:00:00'").selectExpr(
+        "o_orderkey", "cast(o_totalprice AS double) AS amount",
+        "named_struct('clerk', o_orderstatus, 'priority', o_orderpriority) AS detail",
+        "cast(o_orderdate AS string) AS run",
+    )
+    target = f"{name}.orders"
+    for batch in (early, late, late):
+        tables.append_new_runs(batch, target, "run")
+    return spark.table(target).select("o_orderkey", "amount", F.col("detail.priority").alias("priority"))
+
+
 @query(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN CAST(date_trunc('month', o_orderdate)
         AS DATE) END AS run_month, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01'

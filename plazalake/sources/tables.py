@@ -8,17 +8,19 @@ replacement, a full sync is a staged rewrite behind a location switch.
 from __future__ import annotations
 
 import tempfile
+import time
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, NullType, StructField, StructType
 
 from plazalake.operators.dedup import require_unique, top_per_key
 from plazalake.operators.joins import lookup_join
 
-RUN_LIST_LIMIT = 2_000
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -90,52 +92,113 @@ def insert_only(
     table: str,
     key: str,
     order: Sequence[Column],
-    run_column: str,
     partition_by: Sequence[str] = (),
 ) -> int:
     """BR13: add the rows whose key is not stored yet; returns how many were added.
 
     Replaying a batch adds nothing, so a crash between append and checkpoint
-    is harmless. The key is a function of the run, so stored keys are read
-    only from row groups that hold one of the batch's runs, as long as the
-    batch names few enough runs to list; else all stored keys are read.
+    is harmless. Of the stored rows only the key column is read.
     """
     if batch.isEmpty():
         return 0
     ensure_table(batch, table, partition_by)
-    stored = batch.sparkSession.table(table)
-    runs = batch.select(run_column).distinct().limit(RUN_LIST_LIMIT + 1).collect()
-    if len(runs) <= RUN_LIST_LIMIT:
-        names = [r[0] for r in runs if r[0] is not None]
-        same_run = F.col(run_column).isin(names) if names else F.lit(False)
-        if any(r[0] is None for r in runs):
-            same_run = same_run | F.col(run_column).isNull()
-        stored = stored.where(same_run)
-    fresh = top_per_key(batch, [key], order).join(stored.select(key), key, "left_anti")
+    stored = batch.sparkSession.table(table).select(key)
+    fresh = top_per_key(batch, [key], order).join(stored, key, "left_anti")
     return _written(_balanced(_in_table_order(fresh, table), partition_by), table, overwrite=False)
 
 
+#: Widenings that keep every value: from a type's name to those that hold it.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "double"),
+    "smallint": ("int", "bigint", "double"),
+    "int": ("bigint", "double"),
+    "bigint": ("double",),
+    "float": ("double",),
+    "date": ("timestamp",),
+}
+
+
+def merged_type(held: DataType, new: DataType, place: str = "") -> DataType:
+    """The type that takes the values of both: structs field by field by name.
+
+    Whole numbers become doubles when either side has fractions, as schema inference
+    itself does; any other pair of types would lose values and raises.
+    """
+    if held == new or isinstance(new, NullType):
+        return held
+    if isinstance(held, NullType):
+        return new
+    if isinstance(held, StructType) and isinstance(new, StructType):
+        fields = {f.name: f.dataType for f in held}
+        for f in new:
+            known = fields.get(f.name, f.dataType)
+            fields[f.name] = merged_type(known, f.dataType, f"{place}.{f.name}" if place else f.name)
+        return StructType([StructField(name, kind) for name, kind in fields.items()])
+    if isinstance(held, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(merged_type(held.elementType, new.elementType, f"{place}[]"))
+    if isinstance(held, MapType) and isinstance(new, MapType) and held.keyType == new.keyType:
+        return MapType(held.keyType, merged_type(held.valueType, new.valueType, f"{place}{{}}"))
+    names = held.simpleString(), new.simpleString()
+    for narrow, wide, kind in ((*names, new), (*names[::-1], held)):
+        if wide in WIDER.get(narrow, ()):
+            return kind
+    raise TypeError(f"{place or 'column'}: {names[0]} and {names[1]} have no common type")
+
+
+def fitted(value: Column, held: DataType, wanted: DataType) -> Column:
+    """``value`` of type ``held`` as ``wanted``, which holds all of it."""
+    if held == wanted:
+        return value
+    if isinstance(held, StructType) and isinstance(wanted, StructType):
+        known = {f.name: f.dataType for f in held}
+        fields = [
+            (fitted(value[f.name], known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType))
+            .alias(f.name)
+            for f in wanted
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(held, ArrayType):
+        return F.transform(value, lambda x: fitted(x, held.elementType, wanted.elementType))
+    if isinstance(held, MapType):
+        return F.transform_values(value, lambda _, x: fitted(x, held.valueType, wanted.valueType))
+    return value.cast(wanted)
+
+
+def _fitted_frame(df: DataFrame, wanted: StructType) -> DataFrame:
+    known = {f.name: f.dataType for f in df.schema}
+    return df.select(
+        *(
+            (fitted(F.col(f"`{f.name}`"), known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType))
+            .alias(f.name)
+            for f in wanted
+        )
+    )
+
+
 def append_new_runs(df: DataFrame, table: str, run_column: str = "_run_id") -> int:
-    """BR14/JN10/IO14: append runs the table does not hold; new columns are added to it.
+    """BR14/JN10/IO14: append runs the table does not hold.
 
+    New columns are added. New fields inside structs and wider number types rewrite the
+    table in a new folder; types without a common one raise before anything is written.
     A NULL run never matches, so such rows are appended every time.
     """
     spark = df.sparkSession
     ensure_table(df, table)
     stored = spark.table(table)
+    wanted = merged_type(stored.schema, df.schema)
     fresh = lookup_join(df, stored.select(run_column).distinct(), [run_column], "left_anti")
-    added = [f for f in df.schema.fields if f.name not in stored.columns]
+    held = {f.name: f.dataType for f in stored.schema}
+    if any(held.get(f.name, f.dataType) != f.dataType for f in wanted):
+        seen = Observation()
+        counted = _fitted_frame(fresh, wanted).observe(seen, F.count(F.lit(1)).alias("rows"))
+        both = _fitted_frame(stored, wanted).unionByName(counted)
+        replace_all(both, table, f"{table_location(spark, table)}_versions")
+        return seen.get["rows"]
+    added = [f for f in wanted if f.name not in held]
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    target = spark.table(table).schema
-    aligned = fresh.select(
-        *[
-            F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in target.fields
-        ]
-    )
-    return _written(aligned, table, overwrite=False)
+    return _written(_fitted_frame(fresh, spark.table(table).schema), table, overwrite=False)
 
 
 def replace_date(
@@ -178,27 +241,37 @@ def table_location(spark: SparkSession, table: str) -> str:
 def replace_all(df: DataFrame, table: str, base: str, keys: Sequence[str] = ()) -> None:
     """ST3/IO15: full rewrite, new schema included.
 
-    Two folders below ``base`` take turns: the idle one is overwritten, then the
-    table is pointed at it. Readers never see a half-written table, ``df`` may
-    read the table it replaces, and a failed run leaves the old state in place.
+    Every version is written to a new folder below ``base`` before the table is pointed
+    at it, so readers find a whole version at any time, ``df`` may read the table it
+    replaces, and a failed run leaves the old state in place. Old folders stay for
+    readers that still scan them and may be removed later.
     """
     if keys:
         require_unique(df, keys)
     spark = df.sparkSession
-    exists = spark.catalog.tableExists(table)
-    in_use = table_location(spark, table) if exists else ""
-    target = f"{base.rstrip('/')}/{'b' if in_use.endswith('/a') else 'a'}"
-    df.write.mode("overwrite").parquet(target)
-    if exists and spark.table(table).schema == df.schema:
+    target = f"{base.rstrip('/')}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(target)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{target}'")
+    elif _plain(spark.table(table).schema) == _plain(df.schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
     else:
-        if exists:
-            spark.sql(f"DROP TABLE {table}")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{target}'")
+        # The schema of a path table can't be altered freely; a view can't be either, so
+        # the new table is complete under its own name first and the swap is two renames.
+        fresh, old = f"{table}_next", f"{table}_old"
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet LOCATION '{target}'")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     spark.catalog.refreshTable(table)
 
 
+def _plain(schema: StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
 def publish_view(spark: SparkSession, view: str, statement: str, comment: str) -> None:
     """IO16."""
     text = comment.replace("'", "''")

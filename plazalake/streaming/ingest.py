@@ -37,7 +37,7 @@ def manifests_stream(
     return bronze_manifests(_files(spark, path, glob, True, max_files))
 
 
-def _run_once(stream: DataFrame, table: str, key: str, run_column: str, checkpoint: str) -> None:
+def _run_once(stream: DataFrame, table: str, key: str, checkpoint: str) -> None:
     # Newest file first, then a hash of the record: the kept duplicate does not
     # depend on task timing.
     order = [
@@ -47,8 +47,8 @@ def _run_once(stream: DataFrame, table: str, key: str, run_column: str, checkpoi
     ]
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.persist()  # read three times below, parsed once
-        insert_only(parsed, table, key, order, run_column, ["_partition_ingest_date"])
+        parsed = batch.persist()  # read twice below, parsed once
+        insert_only(parsed, table, key, order, ["_partition_ingest_date"])
         parsed.unpersist()
 
     (
@@ -68,7 +68,6 @@ def ingest_listings(spark: SparkSession, config: EngineConfig) -> None:
         ),
         config.listings_raw,
         "_bronze_observation_key",
-        "_run_id",
         config.checkpoint("listings"),
     )
 
@@ -81,6 +80,5 @@ def ingest_manifests(spark: SparkSession, config: EngineConfig) -> None:
         ),
         config.ingestion_runs,
         "_bronze_manifest_key",
-        "run_id",
         config.checkpoint("manifests"),
     )

@@ -228,15 +228,21 @@ def test_inverted_ranges_have_no_options(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_lookup_equals_broadcast(spark, how):
+def test_lookup_join_with_a_hot_key(spark, how):
     # One key holds a third of the rows, some keys are NULL or unknown.
     fact = spark.range(3000).selectExpr(
         "id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id % 400 END AS k"
     )
     lookup = spark.range(300).selectExpr("id AS k", "id * 2 AS v")
-    wide = lookup_join(fact, lookup, ["k"], how)
-    salted = lookup_join(fact, lookup, ["k"], how, max_rows=10, salts=5)
-    assert as_set(salted.select(*wide.columns)) == as_set(wide)
+    rows = [(r["id"], r["k"]) for r in fact.collect()]
+    hit = {i for i, k in rows if k is not None and k < 300}
+    kept = {"inner": hit, "left_semi": hit, "left": {i for i, _ in rows}, "left_anti": {i for i, _ in rows} - hit}
+    got = lookup_join(fact, lookup, ["k"], how).collect()
+    assert sorted(r["id"] for r in got) == sorted(kept[how])
+    if how in ("inner", "left"):
+        assert all(r["v"] == (r["k"] * 2 if r["id"] in hit else None) for r in got)
+    with pytest.raises(ValueError):
+        lookup_join(fact, lookup, ["k"], "full")
 
 
 def test_running_sum_over_blocks(spark):

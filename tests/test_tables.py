@@ -18,12 +18,14 @@ def test_insert_only_adds_each_key_once(spark, database):
     schema = "run string, key string, v int"
     order = [F.col("v").desc()]
     first = spark.createDataFrame([("r1", "a", 1), ("r1", "a", 2), (None, "n", 1)], schema)
-    assert tables.insert_only(first.limit(0), table, "key", order, "run") == 0
-    assert tables.insert_only(first, table, "key", order, "run") == 2
-    assert tables.insert_only(first, table, "key", order, "run") == 0
+    assert tables.insert_only(first.limit(0), table, "key", order) == 0
+    assert tables.insert_only(first, table, "key", order) == 2
+    assert tables.insert_only(first, table, "key", order) == 0
     more = spark.createDataFrame([("r1", "a", 9), ("r2", "b", 1), (None, "n", 5)], schema)
-    assert tables.insert_only(more, table, "key", order, "run") == 1
-    assert rows_of(spark, table, "key", "v") == [("a", 2), ("b", 1), ("n", 1)]
+    assert tables.insert_only(more, table, "key", order) == 1
+    other_run = spark.createDataFrame([("r9", "a", 5), ("r9", "c", 5)], schema)
+    assert tables.insert_only(other_run, table, "key", order) == 1
+    assert rows_of(spark, table, "key", "v") == [("a", 2), ("b", 1), ("c", 5), ("n", 1)]
 
 
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
@@ -54,6 +56,21 @@ def test_replace_all_may_read_its_own_table(spark, database, tmp_path):
     assert spark.table(table).columns == ["k", "w"] and rows_of(spark, table, "k", "w") == [(2, 3.0)]
 
 
+def test_append_new_runs_widens_and_refuses(spark, database):
+    table = f"{database}.wide"
+    whole = spark.createDataFrame([("r1", 5, (1,))], "_run_id string, price bigint, raw struct<a:int>")
+    assert tables.append_new_runs(whole, table) == 1
+    more = spark.createDataFrame([("r2", 5.5, (2, "z"))], "_run_id string, price double, raw struct<a:int,b:string>")
+    assert tables.append_new_runs(more, table) == 1
+    assert tables.append_new_runs(more, table) == 0
+    got = sorted((r["price"], r["raw"]["a"], r["raw"]["b"]) for r in spark.table(table).collect())
+    assert got == [(5.0, 1, None), (5.5, 2, "z")]
+    assert tables.append_new_runs(whole.withColumn("_run_id", F.lit("r3")), table) == 1
+    with pytest.raises(TypeError, match="price"):
+        tables.append_new_runs(spark.createDataFrame([("r4", "x")], "_run_id string, price string"), table)
+    assert spark.table(table).count() == 3
+
+
 def test_append_new_runs_evolves_schema(spark, database):
     table = f"{database}.full"
     first = spark.createDataFrame([("r1", 1), (None, 2)], "_run_id string, a int")
