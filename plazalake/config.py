@@ -22,8 +22,9 @@ class EngineConfig:
     namespace: str
     raw_path: str
     checkpoint_root: str
-    listing_glob: str = "listings_*.jsonl"
-    manifest_glob: str = "manifest_*.json"
+    # Files of the crawler, and those that landed.write_landing and write_manifests make.
+    listing_glob: str = "{listings_*.jsonl,part-*.json}"
+    manifest_glob: str = "{manifest_*.json,part-*.txt}"
     max_files_per_batch: int = 1000  # a backlog is worked off in bounded micro-batches
 
     def __post_init__(self) -> None:

@@ -144,8 +144,11 @@ def official_districts(attributes: DataFrame, district_column: str | None = None
 
 
 def in_official(rows: DataFrame, districts: DataFrame) -> DataFrame:
-    """JN13: rows of official districts."""
-    return lookup_join(rows, districts, ["district_key"], "left_semi")
+    """JN13: rows of official districts; an error when no row has one."""
+    matched = lookup_join(rows, districts, ["district_key"], "left_semi")
+    if matched.isEmpty():
+        raise ValueError("no row belongs to an official district")
+    return matched
 
 
 def unmatched_labels(rows: DataFrame, districts: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ from plazalake.streaming.ingest import ingest_listings
 )
 def bronze_keyed_observations(spark, sf_dir):
     """IO7 + BR10."""
-    return observations(spark, sf_dir, places=False).select(
+    return observations(spark, sf_dir).select(
         "event_id",
         F.col("_partition_ingest_date").alias("partition_date"),
         F.col("_partition_bedrooms").alias("partition_bedrooms"),
@@ -67,7 +67,7 @@ def bronze_keyed_manifests(spark, sf_dir):
 )
 def bronze_monitor(spark, sf_dir):
     """BR16."""
-    watched = monitors.bronze_monitor(observations(spark, sf_dir, places=False))
+    watched = monitors.bronze_monitor(observations(spark, sf_dir))
     return watched.withColumn("latest_load_day", F.to_date("latest_bronze_load")).drop(
         "latest_bronze_load"
     )
@@ -199,7 +199,7 @@ def bronze_marked_pages(spark, sf_dir):
 
 def crawl(spark, sf_dir):
     """Events as the cards of a crawl: run by day and segment, page by hour."""
-    return listings(spark, sf_dir, places=False).selectExpr(
+    return listings(spark, sf_dir).selectExpr(
         "event_id AS _position",
         "concat(cast(day AS string), '_b', seg) AS _run_id",
         "_page_num",
@@ -246,20 +246,20 @@ def bronze_page_yield(spark, sf_dir):
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 6 = 0 THEN 'not json ' || event_id
-      ELSE CASE WHEN event_id % 2 <> 0 THEN CAST(user_id AS VARCHAR) END END AS listing_id,
+    """SELECT event_id, CASE WHEN event_id % 6 <> 0 THEN CAST(user_id AS VARCHAR) END AS listing_id,
       CASE WHEN event_id % 6 <> 0 AND event_id % 5 <> 0 THEN CAST(amount AS DOUBLE) END AS price_min,
-      CASE WHEN event_id % 6 <> 0 THEN page END AS page_num, 'x' AS rescued FROM ev WHERE 1 = 0
-    UNION ALL
-    SELECT event_id, CASE WHEN event_id % 6 <> 0 THEN CAST(user_id AS VARCHAR) END,
-      CASE WHEN event_id % 6 <> 0 AND event_id % 5 <> 0 THEN CAST(amount AS DOUBLE) END,
-      CASE WHEN event_id % 6 <> 0 THEN page END,
+      CASE WHEN event_id % 6 <> 0 THEN page END AS page_num,
+      CASE WHEN event_id % 6 <> 0 AND event_id % 7 <> 0 THEN seg END AS searched,
       CASE WHEN event_id % 6 = 0 THEN '{"_corrupt_record":"not json ' || event_id || '"}'
-        WHEN event_id % 5 = 0 AND event_id % 4 = 0
-          THEN '{"price_min":"cheap' || amount || '","floor":"' || seg || '"}'
-        WHEN event_id % 5 = 0 THEN '{"price_min":"cheap' || amount || '"}'
-        WHEN event_id % 4 = 0 THEN '{"floor":"' || seg || '"}' END
-    FROM ev"""
+        WHEN len(lost) > 0 THEN '{' || array_to_string(lost, ',') || '}' END AS rescued
+    FROM (SELECT *, list_filter([
+        CASE WHEN event_id % 5 = 0 THEN '"price_min":"cheap' || amount || '"' END,
+        CASE WHEN event_id % 9 = 0 THEN '"features":"[\\"a\\",{\\"b\\":' || seg || '}]"' END,
+        CASE WHEN event_id % 4 = 0 THEN '"floor":"' || seg || '"' END,
+        CASE WHEN event_id % 7 = 0 THEN '"_search_params.bedrooms":"two"' END,
+        CASE WHEN event_id % 11 = 0 THEN '"_search_params.newkey":"5"' END,
+        CASE WHEN event_id % 13 = 0 THEN '"_raw.floor":"' || page || '"' END],
+        lambda x: x IS NOT NULL) AS lost FROM ev)"""
 )
 def bronze_rescued_lines(spark, sf_dir):
     """IO5: unknown keys, mistyped values and broken lines are kept as rescued data."""
@@ -269,13 +269,20 @@ def bronze_rescued_lines(spark, sf_dir):
           '{"listing_id":"', user_id, '","price_min":',
           CASE WHEN event_id % 5 = 0 THEN concat('"cheap', amount, '"') ELSE cast(amount AS string) END,
           ',"_page_num":', page, ',"currency":null',
-          CASE WHEN event_id % 4 = 0 THEN concat(',"floor":', seg) ELSE '' END, '}') END AS value""",
+          CASE WHEN event_id % 9 = 0 THEN concat(',"features":["a",{"b":', seg, '}]')
+            ELSE ',"features":["a","b \\\\"c\\\\""]' END,
+          CASE WHEN event_id % 4 = 0 THEN concat(',"floor":', seg) ELSE '' END,
+          ',"_search_params":{"bedrooms":', CASE WHEN event_id % 7 = 0 THEN '"two"' ELSE cast(seg AS string) END,
+          CASE WHEN event_id % 11 = 0 THEN ',"newkey":5' ELSE '' END, '}',
+          CASE WHEN event_id % 13 = 0 THEN concat(',"_raw":{"price":"1","floor":', page, '}') ELSE '' END,
+          '}') END AS value""",
     )
     return landed.parse_landed(lines, LISTING_SCHEMA).select(
         "event_id",
         "listing_id",
         "price_min",
         F.col("_page_num").alias("page_num"),
+        F.col("_search_params.bedrooms").alias("searched"),
         F.col("_rescued_data").alias("rescued"),
     )
 
@@ -310,7 +317,7 @@ def bronze_unseen_runs(spark, sf_dir):
         .select(F.col("run_id").alias("_run_id"))
     )
     fresh = lookup_join(
-        observations(spark, sf_dir, places=False), stored, ["_run_id"], "left_anti"
+        observations(spark, sf_dir), stored, ["_run_id"], "left_anti"
     )
     return fresh.select("event_id", F.col("_run_id").alias("run_id"))
 
@@ -322,8 +329,6 @@ def scratch_product(spark) -> EngineConfig:
         namespace=f"plaza_{uuid.uuid4().hex[:12]}",
         raw_path=f"{root}/raw",
         checkpoint_root=f"{root}/checkpoints",
-        listing_glob="*.json",
-        manifest_glob="*.txt",
     )
     for layer in ("bronze", "silver", "gold"):
         tables.create_database(spark, config.database(layer), f"{root}/{layer}")
@@ -331,21 +336,19 @@ def scratch_product(spark) -> EngineConfig:
 
 
 @query(
-    """SELECT CAST(date_trunc('week', day) AS DATE) AS partition_date, COUNT(DISTINCT seg) AS runs,
+    """SELECT day AS partition_date, COUNT(DISTINCT seg) AS runs,
       COUNT(DISTINCT seg || '|' || CASE
         WHEN event_id % 97 = 0 THEN 'https://listings.example/aviso/' || user_id
         WHEN event_id % 7 = 0 THEN ' ' || user_id || ' ' ELSE CAST(user_id AS VARCHAR) END)
       AS observations FROM ev GROUP BY 1"""
 )
 def bronze_stream_ingest(spark, sf_dir):
-    """IO1, IO8, IO18, BR13: land weekly runs as files, stream them twice, read the table."""
+    """IO1, IO8, IO18, BR13: land daily runs as files, stream them twice, read the table."""
     config = scratch_product(spark)
-    rows = listings(spark, sf_dir, places=False).withColumns(
+    rows = listings(spark, sf_dir).withColumns(
         {
-            "ingest_date": F.trunc("day", "week"),
-            "_run_id": F.concat(
-                F.trunc("day", "week").cast("string"), F.lit("_b"), F.col("seg").cast("string")
-            ),
+            "ingest_date": F.col("day"),
+            "_run_id": F.expr("concat(cast(day AS string), '_b', seg)"),
         }
     )
     landed.write_landing(rows, f"{config.raw_path}listings", "web")
@@ -360,13 +363,13 @@ def bronze_stream_ingest(spark, sf_dir):
 @query(
     """SELECT run_id, n AS records_written, pages AS pages_scraped, 'source=web/operation=alquiler/'
       || 'property=departamento/bedrooms=' || seg || '/ingest_date=' || CAST(run_date AS VARCHAR)
-      || '/listings_' || run_id || '.jsonl' AS data_path
+      || '/run=' || run_id AS data_path
     FROM (SELECT CAST(day AS VARCHAR) || '_b' || seg AS run_id, day AS run_date, seg, COUNT(*) AS n,
       CAST(COUNT(DISTINCT page) AS INTEGER) AS pages FROM ev GROUP BY day, seg)"""
 )
 def bronze_manifests_of_landing(spark, sf_dir):
     """IO19: manifests computed from the landed rows."""
-    rows = listings(spark, sf_dir, places=False).withColumns(
+    rows = listings(spark, sf_dir).withColumns(
         {
             "ingest_date": F.col("day"),
             "_run_id": F.expr("concat(cast(day AS string), '_b', seg)"),
@@ -381,3 +384,34 @@ def bronze_manifests_of_landing(spark, sf_dir):
     return landed.manifests_of(rows, "web").select(
         "run_id", "records_written", "pages_scraped", "data_path"
     )
+
+
+@query(
+    """SELECT CAST(run_date AS VARCHAR) || '_b' || seg AS run_id, CASE WHEN seg <> 4 THEN n ELSE 0 END AS records_written,
+      CAST(pages + 1 AS INTEGER) AS pages_scraped,
+      CASE WHEN (day(run_date) + seg) % 11 = 0 THEN 'failed' ELSE 'success' END AS status,
+      CASE WHEN (day(run_date) + seg) % 11 = 0 THEN 'timeout' END AS error
+    FROM (SELECT day AS run_date, seg, COUNT(*) AS n, MAX(page) AS pages FROM ev GROUP BY day, seg)"""
+)
+def bronze_manifests_of_runs(spark, sf_dir):
+    """IO19: every run closes with a manifest, failed runs and those that found nothing too."""
+    run = "concat(cast(day AS string), '_b', seg)"
+    search = "named_struct('operation', 'alquiler', 'property_type', 'departamentos', 'location', 'lima', 'bedrooms', seg)"
+    rows = listings(spark, sf_dir).withColumns(
+        {"ingest_date": F.col("day"), "_run_id": F.expr(run), "_search_params": F.expr(search)}
+    )
+    failed = "(day(day) + seg) % 11 = 0"
+    runs = (
+        crawl_events(spark, sf_dir)
+        .groupBy("day", "seg")
+        .agg(F.max("page").alias("pages"))
+        .selectExpr(
+            f"{run} AS run_id", "day AS ingest_date", f"{search} AS search_params", "pages + 1 AS pages_scraped",
+            "cast(NULL AS string) AS started_at", "cast(NULL AS string) AS completed_at",
+            f"CASE WHEN {failed} THEN 'failed' ELSE 'success' END AS status",
+            f"CASE WHEN {failed} THEN 'timeout' END AS error",
+        )
+    )
+    return landed.manifests_of(rows.where("seg <> 4"), "web", runs=runs).select(
+        "run_id", "records_written", "pages_scraped", "status", "error"
+    )

@@ -107,23 +107,16 @@ def _iso(column: str) -> str:
     return f"concat(replace(cast({column} AS string), ' ', 'T'), '+00:00')"
 
 
-def listings(spark: SparkSession, sf_dir: str, places: bool = True) -> DataFrame:
-    """Raw listing records (landing schema) plus ``event_id``, ``seg`` and ``day``.
-
-    ``places=False`` leaves the district empty and saves the customer lookup
-    for queries that never look at it.
-    """
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listing records (landing schema) plus ``event_id``, ``seg`` and ``day``."""
     ev = crawl_events(spark, sf_dir)
-    if places:
-        customer = table(spark, sf_dir, "customer").selectExpr(
-            "c_custkey AS user_id", "c_nationkey AS n_nationkey"
-        )
-        nation = table(spark, sf_dir, "nation").selectExpr(
-            "n_nationkey", "concat(' ', translate(n_name, 'AO', 'ÁÓ')) AS district"
-        )
-        ev = lookup_join(lookup_join(ev, customer, ["user_id"]), nation, ["n_nationkey"])
-    else:
-        ev = ev.withColumn("district", F.lit(None).cast("string"))
+    customer = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id", "c_nationkey AS n_nationkey"
+    )
+    nation = table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey", "concat(' ', translate(n_name, 'AO', 'ÁÓ')) AS district"
+    )
+    ev = lookup_join(lookup_join(ev, customer, ["user_id"]), nation, ["n_nationkey"])
     return ev.selectExpr(
         "event_id", "seg", "day",
         """CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 7 = 0 THEN concat(' ', user_id, ' ')
@@ -170,9 +163,9 @@ def listings(spark: SparkSession, sf_dir: str, places: bool = True) -> DataFrame
     )
 
 
-def observations(spark: SparkSession, sf_dir: str, places: bool = True) -> DataFrame:
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze observations: path partitions and technical key added."""
-    return key_observations(stamp_paths(listings(spark, sf_dir, places)))
+    return key_observations(stamp_paths(listings(spark, sf_dir)))
 
 
 def raw_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,7 +49,9 @@ def silver_job(spark: SparkSession, config: EngineConfig, processing_date: str |
     judged = quality.apply_rules(typed, F.lit(day)).persist()
     try:
         snapshot = typed_rows.snapshot_columns(latest_observation(quality.valid_rows(judged)))
-        tables.replace_date(_stamp(snapshot, "updated_at"), config.snapshot, day)
+        tables.replace_date(
+            _stamp(snapshot, "updated_at"), config.snapshot, day, keys=["ingest_date", "listing_id"]
+        )
         tables.replace_date(
             _stamp(quality.quarantine(judged), "quarantined_at"), config.quarantine, day
         )
@@ -101,6 +103,7 @@ def gold_job(
         _stamp(changes.changes_for_day(snapshots, day, before, complete), "calculated_at"),
         config.listing_changes,
         day,
+        keys=["ingest_date", "listing_id"],
     )
     # The stored change rows are read back instead of being compared twice.
     rows = tables.on_day(spark, config.listing_changes, day).drop("calculated_at")

@@ -13,15 +13,15 @@ from plazalake.plans.inputs import manifests, observations, stored
 from plazalake.plans.registry import query
 
 
-def judged(spark, sf_dir, places=True) -> DataFrame:
+def judged(spark, sf_dir) -> DataFrame:
     """Typed observations of all days with their rule outcomes."""
-    bronze = observations(spark, sf_dir, places)
+    bronze = observations(spark, sf_dir)
     return quality.apply_rules(typing.typed_observations(bronze, manifests(spark, sf_dir)))
 
 
-def snapshots(spark, sf_dir, places=True) -> DataFrame:
+def snapshots(spark, sf_dir) -> DataFrame:
     """Canonical snapshot of every day."""
-    valid = quality.valid_rows(judged(spark, sf_dir, places))
+    valid = quality.valid_rows(judged(spark, sf_dir))
     return typing.snapshot_columns(latest_observation(valid, tie_breakers=["event_id"]))
 
 
@@ -83,7 +83,7 @@ def silver_typed_observations(spark, sf_dir):
 )
 def silver_rule_outcomes(spark, sf_dir):
     """DQ1-DQ11: failed rules and the valid/invalid split of every observation."""
-    return judged(spark, sf_dir, places=False).select(
+    return judged(spark, sf_dir).select(
         "event_id",
         F.concat_ws(",", F.sort_array("_failed_rules")).alias("failed_rules"),
         (F.col("_failed_mask") == 0).alias("is_valid"),
@@ -125,13 +125,13 @@ def silver_snapshot_latest_day(spark, sf_dir):
 )
 def silver_quarantine(spark, sf_dir):
     """DQ12: one row per rejected observation and rule."""
-    return quality.quarantine(judged(spark, sf_dir, places=False))
+    return quality.quarantine(judged(spark, sf_dir))
 
 
 @query("SELECT * FROM quality")
 def silver_quality_results(spark, sf_dir):
     """DQ13: every run against every rule."""
-    return quality.quality_results(judged(spark, sf_dir, places=False))
+    return quality.quality_results(judged(spark, sf_dir))
 
 
 @query(
@@ -140,7 +140,7 @@ def silver_quality_results(spark, sf_dir):
 )
 def silver_rule_summary(spark, sf_dir):
     """DQ17."""
-    return monitors.rule_summary(quality.quality_results(judged(spark, sf_dir, places=False)))
+    return monitors.rule_summary(quality.quality_results(judged(spark, sf_dir)))
 
 
 @query(
@@ -152,7 +152,7 @@ def silver_rule_summary(spark, sf_dir):
 )
 def silver_snapshot_summary(spark, sf_dir):
     """DQ16 for every day."""
-    return monitors.snapshot_summary(snapshots(spark, sf_dir, places=False))
+    return monitors.snapshot_summary(snapshots(spark, sf_dir))
 
 
 @query(
@@ -190,7 +190,7 @@ def silver_options_summary(spark, sf_dir):
 def silver_contract(spark, sf_dir):
     """DQ14 over all days of the stored snapshot."""
     snap = snapshot_table(spark, sf_dir)
-    rejected = quality.quarantine(judged(spark, sf_dir, places=False))
+    rejected = quality.quarantine(judged(spark, sf_dir))
     return contracts.silver_contract(
         snap, manifests(spark, sf_dir), options.bedroom_options(snap), rejected
     )

@@ -22,7 +22,7 @@ from plazalake.plans.silver_queries import judged, snapshot_table
 def slo_completeness(spark, sf_dir):
     """DX1."""
     fields = ["listing_id", "price_amount", "area_avg_m2", "bedrooms_min"]
-    shares = slo.completeness_share(judged(spark, sf_dir, places=False), fields)
+    shares = slo.completeness_share(judged(spark, sf_dir), fields)
     return shares.withColumn("share", F.round("share", 9))
 
 
@@ -34,7 +34,7 @@ def slo_completeness(spark, sf_dir):
 )
 def slo_freshness(spark, sf_dir):
     """DX2: published at nine on the following morning (UTC)."""
-    scraped = judged(spark, sf_dir, places=False).where(F.col("observed_at").isNotNull())
+    scraped = judged(spark, sf_dir).where(F.col("observed_at").isNotNull())
     nine = F.expr("to_timestamp(concat(cast(date_add(ingest_date, 1) AS string), 'T09:00:00+00:00'))")
     checked = slo.freshness(scraped, "observed_at", nine)
     return checked.select("ingest_date", F.round("hours", 6).alias("hours"), "met")
@@ -59,7 +59,7 @@ def slo_volume_guard(spark, sf_dir):
 @query("SELECT event_id, area_min_m2, area_max_m2 FROM cand WHERE area_max_m2 < area_min_m2")
 def slo_inverted_areas(spark, sf_dir):
     """DX4."""
-    rows = slo.inverted_areas(judged(spark, sf_dir, places=False))
+    rows = slo.inverted_areas(judged(spark, sf_dir))
     return rows.select("event_id", "area_min_m2", "area_max_m2")
 
 
@@ -73,7 +73,7 @@ def slo_inverted_areas(spark, sf_dir):
 )
 def slo_quality_daily(spark, sf_dir):
     """DX5."""
-    return slo.quality_daily(quality.quality_results(judged(spark, sf_dir, places=False)))
+    return slo.quality_daily(quality.quality_results(judged(spark, sf_dir)))
 
 
 @query(
@@ -84,7 +84,7 @@ def slo_quality_daily(spark, sf_dir):
 )
 def slo_manifest_reconciliation(spark, sf_dir):
     """DX6."""
-    return slo.reconcile(manifests(spark, sf_dir), observations(spark, sf_dir, places=False))
+    return slo.reconcile(manifests(spark, sf_dir), observations(spark, sf_dir))
 
 
 @query("SELECT ingest_date, COUNT(*) AS rows, TRUE AS same FROM snap GROUP BY ingest_date")

@@ -168,7 +168,7 @@ def table_published_view(spark, sf_dir):
 def table_inferred_json(spark, sf_dir):
     """IO10/IO11/BR15: newest landed file(s) read with an inferred schema."""
     path = f"{tables.scratch_root(spark)}/{uuid.uuid4().hex}"
-    rows = listings(spark, sf_dir, places=False).selectExpr(
+    rows = listings(spark, sf_dir).selectExpr(
         "event_id",
         "regexp_extract(url, '([0-9]+)$', 1) AS listing_id",
         "_page_num",
@@ -189,20 +189,18 @@ def table_inferred_json(spark, sf_dir):
 
 
 @query(
-    """SELECT CAST(date_trunc('week', day) AS DATE) || '_b' || seg AS run_id,
+    """SELECT CAST(day AS VARCHAR) || '_b' || seg AS run_id,
       COUNT(*) AS records_written, CAST(COUNT(DISTINCT page) AS INTEGER) AS pages_scraped,
-      CAST(date_trunc('week', day) AS DATE) AS partition_date, seg AS partition_bedrooms
+      day AS partition_date, seg AS partition_bedrooms
     FROM ev GROUP BY ALL"""
 )
 def bronze_stream_manifests(spark, sf_dir):
-    """IO2/IO8/IO19/BR11/BR12: weekly manifests landed as documents and streamed twice."""
+    """IO2/IO8/IO19/BR11/BR12: daily manifests landed as documents and streamed twice."""
     config = scratch_product(spark)
-    rows = listings(spark, sf_dir, places=False).withColumns(
+    rows = listings(spark, sf_dir).withColumns(
         {
-            "ingest_date": F.trunc("day", "week"),
-            "_run_id": F.concat(
-                F.trunc("day", "week").cast("string"), F.lit("_b"), F.col("seg").cast("string")
-            ),
+            "ingest_date": F.col("day"),
+            "_run_id": F.expr("concat(cast(day AS string), '_b', seg)"),
             "_search_params": F.struct(
                 F.lit("alquiler").alias("operation"),
                 F.lit("departamentos").alias("property_type"),

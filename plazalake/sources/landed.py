@@ -4,29 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from plazalake.operators.typing import key_manifests, key_observations, stamp_paths
 from plazalake.schemas import LISTING_SCHEMA, MANIFEST_SCHEMA
 
 
+def _lost(text: Column, parsed: Column, schema: StructType, path: str) -> Column:
+    """Map of dotted path to text of the entries of a JSON object that ``parsed`` doesn't hold."""
+    nothing = F.create_map().cast("map<string,string>")
+    entries = F.from_json(text, "map<string,string>")
+    holds = {f.name: parsed[f.name].isNotNull() for f in schema}
+    for f in schema:
+        if isinstance(f.dataType, ArrayType):  # elements that became texts differ from the source
+            same = F.to_json(parsed[f.name]) == F.try_element_at(entries, F.lit(f.name))
+            holds[f.name] = holds[f.name] & F.coalesce(same, F.lit(False))
+    held = F.array_compact(F.array(*[F.when(ok, F.lit(name)) for name, ok in holds.items()]))
+    known = F.array(*[F.lit(name) for name in holds])
+    lost = F.map_filter(
+        entries,
+        lambda key, value: ~F.array_contains(known, key)
+        | (value.isNotNull() & ~F.array_contains(held, key)),
+    )
+    parts = [F.transform_keys(lost, lambda key, _: F.concat(F.lit(path), key))]
+    for f in schema:
+        if isinstance(f.dataType, StructType):
+            inside = F.try_element_at(entries, F.lit(f.name))
+            below = _lost(inside, parsed[f.name], f.dataType, f"{path}{f.name}.")
+            parts.append(F.when(parsed[f.name].isNotNull() & inside.isNotNull(), below))
+    return F.map_concat(*[F.coalesce(part, nothing) for part in parts])
+
+
 def rescue(value: Column, parsed: Column, schema: StructType) -> Column:
-    """IO5: JSON of every top-level entry the schema did not take.
+    """IO5: JSON of every entry the schema did not take, at any depth, by dotted path.
 
     That is unknown keys, and known keys whose value did not fit the declared
     type. A line that is no JSON object is kept whole.
     """
-    names = schema.fieldNames()
-    entries = F.from_json(value, "map<string,string>")
-    empty = F.array_compact(F.array(*[F.when(parsed[n].isNull(), F.lit(n)) for n in names]))
-    known = F.array(*[F.lit(n) for n in names])
-    lost = F.map_filter(
-        entries,
-        lambda key, text: ~F.array_contains(known, key)
-        | (text.isNotNull() & F.array_contains(empty, key)),
-    )
+    lost = _lost(value, parsed, schema, "")
     broken = F.to_json(F.create_map(F.lit("_corrupt_record"), value))
-    return F.when(entries.isNull(), broken).when(F.size(lost) > 0, F.to_json(lost))
+    unread = F.from_json(value, "map<string,string>").isNull()
+    return F.when(unread, broken).when(F.size(lost) > 0, F.to_json(lost))
 
 
 def parse_landed(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
@@ -138,22 +156,34 @@ def write_landing(df: DataFrame, root: str, source: str) -> None:
     )
 
 
-def manifests_of(landed: DataFrame, source: str, status: Column | None = None) -> DataFrame:
-    """IO19: one manifest record per landed run, with the legacy field names."""
-    runs = ["_run_id", "ingest_date"]
-    pages = landed.groupBy(*runs, "_page_num").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.min("_ingested_at").alias("_first"),
-        F.max("_ingested_at").alias("_last"),
-        F.any_value("_search_params").alias("_search"),
-    )
-    per_run = pages.groupBy(*runs).agg(
-        F.sum("_rows").alias("records_written"),
-        F.count("_page_num").cast("int").alias("pages_scraped"),
-        F.min("_first").alias("started_at"),
-        F.max("_last").alias("completed_at"),
-        F.any_value("_search").alias("search_params"),
-    )
+def manifests_of(landed: DataFrame, source: str, runs: DataFrame | None = None) -> DataFrame:
+    """IO19: one manifest record per run, with the legacy field names.
+
+    ``runs`` (run_id, ingest_date, search_params, pages_scraped, started_at, completed_at,
+    status, error) names the runs, those that landed nothing included; without it the
+    landed rows do, as successful ones.
+    """
+    keys = ["_run_id", "ingest_date"]
+    if runs is None:
+        pages = landed.groupBy(*keys, "_page_num").agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min("_ingested_at").alias("_first"),
+            F.max("_ingested_at").alias("_last"),
+            F.any_value("_search_params").alias("_search"),
+        )
+        per_run = pages.groupBy(*keys).agg(
+            F.sum("_rows").alias("records_written"),
+            F.count("_page_num").cast("int").alias("pages_scraped"),
+            F.min("_first").alias("started_at"),
+            F.max("_last").alias("completed_at"),
+            F.any_value("_search").alias("search_params"),
+            F.lit("success").alias("status"),
+            F.lit(None).cast("string").alias("error"),
+        )
+    else:
+        counts = landed.groupBy(*keys).agg(F.count(F.lit(1)).alias("records_written"))
+        per_run = runs.withColumnRenamed("run_id", "_run_id").join(counts, keys, "left")
+        per_run = per_run.withColumn("records_written", F.coalesce("records_written", F.lit(0)))
     folder = F.concat_ws(
         "/",
         F.concat(F.lit("source="), F.lit(source)),
@@ -164,10 +194,10 @@ def manifests_of(landed: DataFrame, source: str, status: Column | None = None) -
         F.concat(F.lit("bedrooms="), F.col("search_params.bedrooms").cast("string")),
         F.concat(F.lit("ingest_date="), F.col("ingest_date").cast("string")),
     )
-    data_file = F.concat(F.lit("listings_"), F.col("_run_id"), F.lit(".jsonl"))
+    data_file = F.concat(F.lit("run="), F.col("_run_id"))  # the run's folder of part files
     return per_run.select(
         F.col("_run_id").alias("run_id"),
-        (F.lit("success") if status is None else status).alias("status"),
+        "status",
         "records_written",
         F.col("records_written").alias("record_count"),
         "pages_scraped",
@@ -178,7 +208,7 @@ def manifests_of(landed: DataFrame, source: str, status: Column | None = None) -
         data_file.alias("data_file"),
         F.concat_ws("/", folder, data_file).alias("data_path"),
         folder.alias("partition"),
-        F.lit(None).cast("string").alias("error"),
+        "error",
         "ingest_date",
     )
 
