@@ -195,28 +195,24 @@ def links(distinct: DataFrame) -> DataFrame:
     return dealt.select(*pairs, "side", "bits").mapInArrow(_tile_links, "a bigint, b bigint").distinct()
 
 
-def groups(docs: DataFrame, *keys: str) -> DataFrame:
-    """Rows (``keys``, bits, root): rows whose fingerprints are connected by links have one root.
-
-    Null and empty texts and those of white space alone have fingerprint 0, linked like
-    any other. Other columns of ``docs`` are not read; an empty table gives no rows.
-    """
-    prints = written(fingerprints(docs, *keys), "fingerprints")
+def roots_of(prints: DataFrame) -> DataFrame:
+    """(bits, root) for each fingerprint of ``prints``; linked ones have one root."""
     distinct = prints.select("bits").distinct()
-    roots = component_roots(links(distinct))
-    return prints.join(roots.withColumnRenamed("node", "bits"), "bits", "left").select(
-        *keys, "bits", F.coalesce("root", "bits").alias("root")
-    )
+    roots = component_roots(links(distinct)).withColumnRenamed("node", "bits")
+    return distinct.join(roots, "bits", "left").select("bits", F.coalesce("root", "bits").alias("root"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint, component_id.
 
-    component_id is the smallest doc_id of the component (nulls don't count).
+    component_id is the smallest doc_id of the component; nulls don't count. Null and
+    empty texts and those of white space alone have fingerprint 0, linked like any
+    other. Other columns of ``docs`` are not read; an empty table gives no rows.
     """
-    grouped = written(groups(docs, "doc_id"), "simhash-groups")
-    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return grouped.join(smallest, "root").select(
+    prints = written(fingerprints(docs, "doc_id"), "fingerprints")
+    least = prints.groupBy("bits").agg(F.min("doc_id").alias("least")).join(roots_of(prints), "bits")
+    smallest = least.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.join(least.join(smallest, "root"), "bits").select(
         "doc_id",
         F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"),
         "component_id",
@@ -237,6 +233,7 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
             "__sha": F.sha2(empty_if_null("text"), 256),
         }
     )
-    grouped = groups(rows, *identity)
-    kept = grouped.groupBy("root").agg(F.min(F.struct(*identity)).alias("kept")).select("kept.*")
+    prints = written(fingerprints(rows, *identity), "fingerprints")
+    least = prints.groupBy("bits").agg(F.min(F.struct(*identity)).alias("least")).join(roots_of(prints), "bits")
+    kept = written(least.groupBy("root").agg(F.min("least").alias("kept")).select("kept.*"), "kept")
     return rows.join(kept, identity, "left_semi").dropDuplicates(identity).select(*docs.columns)
