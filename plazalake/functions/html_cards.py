@@ -29,6 +29,29 @@ VOID_TAGS = frozenset(
 )
 
 
+#: Elements that the start of a tag closes, and those at which the search for them stops.
+_LISTS, _ROWS, _CELLS = ("ul", "ol", "menu"), ("tr",), ("td", "th")
+_TABLES, _GROUPS = ("table",), ("tbody", "thead", "tfoot")
+IMPLIED_ENDS = {
+    "li": (("li",), _LISTS),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "option": (("option",), ("select", "datalist")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+    "td": (_CELLS, (*_ROWS, *_TABLES)),
+    "th": (_CELLS, (*_ROWS, *_TABLES)),
+    "tr": (_ROWS, (*_GROUPS, *_TABLES)),
+    **{g: (_GROUPS, _TABLES) for g in _GROUPS},
+}
+# A paragraph ends where a block begins, unless something in it keeps blocks inside.
+_KEEPERS = ("button", "object", "td", "th", "caption", "template")
+for _block in (
+    "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 "
+    "h3 h4 h5 h6 header hr main menu nav ol p pre section table ul"
+).split():
+    IMPLIED_ENDS[_block] = (("p",), _KEEPERS)
+
+
 class _Element:
     __slots__ = ("attrs", "before", "children", "last", "tag")
 
@@ -67,7 +90,18 @@ class _TreeReader(HTMLParser):
         self.root = _Element("", {})
         self._open = [self.root]
 
+    def _imply(self, tag: str) -> None:
+        """Close what the start of ``tag`` ends without an end tag of its own."""
+        ended, within = IMPLIED_ENDS.get(tag, ((), ()))
+        for depth in range(len(self._open) - 1, 0, -1):
+            if self._open[depth].tag in within:
+                return
+            if self._open[depth].tag in ended:
+                del self._open[depth:]
+                return
+
     def handle_starttag(self, tag, attrs):
+        self._imply(tag)
         element = _Element(tag, {name: value or "" for name, value in attrs})
         self._open[-1].add(element)
         if tag not in VOID_TAGS:

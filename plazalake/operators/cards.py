@@ -40,7 +40,9 @@ def extract_cards(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
             out["_raw"] = pd.Series(cards, dtype="object")
             yield out
 
-    return pages.mapInPandas(per_batch, schema)
+    # Pages without a mark have no card; they never leave the JVM.
+    marked = pages.where(F.col(html).contains("data-qa"))
+    return marked.mapInPandas(per_batch, schema)
 
 
 def card_listings(cards: DataFrame, base_url: str) -> DataFrame:

@@ -326,16 +326,23 @@ def serving_payload_rows(spark, sf_dir):
 
 
 @query(
-    """SELECT '{"scrapeDate":"' || CAST((SELECT MAX(ingest_date) FROM snap) AS VARCHAR) || '","rows":['
-      || string_agg('{"district_key":"' || district_key || '","bedrooms":' || bedrooms
-        || ',"listing_count":' || listing_count || '}', ',' ORDER BY district_key, bedrooms, listing_count)
-      || ']}' AS value FROM matrix"""
+    """SELECT 0 AS section, NULL AS district, NULL AS bedrooms,
+      '{"scrapeDate":"' || CAST((SELECT MAX(ingest_date) FROM snap) AS VARCHAR) || '","rows":[' AS value
+    UNION ALL SELECT 1, district, bedrooms, '{"district_key":"' || district_key || '","bedrooms":' || bedrooms
+      || ',"listing_count":' || listing_count
+      || ',"median_price":' || coalesce(CAST(median_price AS VARCHAR), 'null')
+      || ',"avg_area_m2":' || coalesce(CAST(avg_area_m2 AS VARCHAR), 'null')
+      || ',"median_price_per_m2":' || coalesce(CAST(median_price_per_m2 AS VARCHAR), 'null') || '}'
+      || CASE WHEN row_number() OVER (ORDER BY district DESC, bedrooms DESC) = 1 THEN '' ELSE ',' END
+    FROM matrix
+    UNION ALL SELECT 2, NULL, NULL, ']}'"""
 )
 def serving_payload_document(spark, sf_dir):
-    """IO22 as one document: four rows per official district."""
+    """IO22 as the parts of one document, all rounded metrics included."""
     day = serving.single_date(exported(spark, sf_dir))
-    columns = ["district_key", "bedrooms", "listing_count"]
-    return exports.payload_document(matrix_rows(spark, sf_dir), columns, day)
+    rows = serving.value_matrix(matrix_rows(spark, sf_dir))
+    columns = ["district_key", "bedrooms", *serving.MATRIX_METRICS]
+    return exports.payload_document(rows, columns, ["district", "bedrooms"], day)
 
 
 @query(

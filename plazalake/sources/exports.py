@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,6 @@ from pyspark.sql import functions as F
 from plazalake.functions.measures import bracket_labels
 from plazalake.operators.serving import require_columns, single_date
 
-PAYLOAD_ROWS = 100_000
-
 
 def write_export(export: DataFrame, path: str) -> None:
     """IO21: one CSV of one day. An export has a few rows per district."""
@@ -31,23 +30,38 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     return require_columns(raw)
 
 
-def payload_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """IO22: one compact JSON object per row; stays distributed at any size."""
-    return rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
+def payload_rows(rows: DataFrame, columns: Sequence[str], *keys: str) -> DataFrame:
+    """IO22: one compact JSON object per row, after its ``keys``; stays distributed at any size."""
+    return rows.select(*keys, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def payload_document(
-    rows: DataFrame, columns: Sequence[str], scrape_date: str, max_rows: int = PAYLOAD_ROWS
+    rows: DataFrame, columns: Sequence[str], order: Sequence[str], scrape_date: str
 ) -> DataFrame:
-    """IO22: the single document a page embeds; larger results are written as rows instead."""
-    if rows.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write payload_rows instead of one document")
-    listed = rows.agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
-    return listed.select(
-        F.to_json(
-            F.struct(F.lit(scrape_date).alias("scrapeDate"), "rows"), {"ignoreNullFields": "false"}
-        ).alias("value")
-    )
+    """IO22: the document a page embeds, as text parts (section, ``order``, value).
+
+    ``order`` names a row. Joined by section and ``order`` the parts are one JSON
+    document; they stay distributed at any size.
+    """
+    spark = rows.sparkSession
+    kinds = {f.name: f.dataType for f in rows.schema}
+    nowhere = [F.lit(None).cast(kinds[c]).alias(c) for c in order]
+
+    def part(section: int, text: str) -> DataFrame:
+        return spark.range(1).select(F.lit(section).alias("section"), *nowhere, F.lit(text).alias("value"))
+
+    last = rows.agg(F.max(F.struct(*order)).alias("_last"))  # a single row
+    listed = payload_rows(rows, columns, *order).crossJoin(F.broadcast(last))
+    comma = F.when(F.struct(*order) == F.col("_last"), "").otherwise(",")
+    body = listed.select(F.lit(1).alias("section"), *order, F.concat("value", comma).alias("value"))
+    head = part(0, f'{{"scrapeDate":{json.dumps(scrape_date)},"rows":[')
+    return head.unionByName(body).unionByName(part(2, "]}"))
+
+
+def write_payload(document: DataFrame, path: str) -> None:
+    """IO22: text files that are the document when read one after the other."""
+    order = [c for c in document.columns if c != "value"]
+    document.orderBy(*order).select("value").write.mode("overwrite").text(path)
 
 
 def dashboard_header(bounds: Sequence[float], scrape_date: str, spark: SparkSession) -> DataFrame:

@@ -6,6 +6,7 @@ from plazalake.functions import keys as K
 from plazalake.functions import measures as M
 from plazalake.functions import parsing as P
 from plazalake.functions import text as T
+from plazalake.functions.html_cards import read_cards
 
 PRICES = [
     ("S/ 2,750", 2750.0, "PEN", 2750.0, "PEN"),
@@ -165,3 +166,14 @@ def test_configuration():
     for text in ("20260713", "2026-7-1", "x"):
         with pytest.raises(ValueError):
             strict_date(text)
+
+
+def test_unclosed_elements_end_as_in_a_browser():
+    page = (
+        '<div data-qa="posting PROPERTY" data-id="1"><ul><li>Av. Uno<li data-qa="POSTING_CARD_LOCATION">'
+        'Rimac, Lima<li data-qa="POSTING_CARD_PRICE">S/ 10<ul><li>inner</ul></ul>'
+        '<p data-qa="POSTING_CARD_DESCRIPTION">first<p>second<div data-qa="expensas">S/ 2</div></div>'
+    )
+    (card,) = read_cards(page, "http://x/")
+    assert (card["street"], card["location"], card["price"]) == ("Av. Uno", "Rimac, Lima", "S/ 10inner")
+    assert (card["description"], card["maintenance"]) == ("first", "S/ 2")

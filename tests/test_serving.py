@@ -108,10 +108,12 @@ def test_payloads(spark):
     rows = serving.value_matrix(serving.servable(export(spark), METRICS))
     columns = ["district_key", "bedrooms", "listing_count"]
     lines = [json.loads(r[0]) for r in exports.payload_rows(rows, columns).collect()]
-    document = json.loads(exports.payload_document(rows, columns, "2024-01-01").first()[0])
+    parts = exports.payload_document(rows, columns, ["district", "bedrooms"], "2024-01-01")
+    ordered = parts.orderBy("section", "district", "bedrooms").collect()
+    document = json.loads("".join(r["value"] for r in ordered))
+    none = exports.payload_document(rows.limit(0), columns, ["district", "bedrooms"], "2024-01-01")
+    assert json.loads("".join(r["value"] for r in none.orderBy("section").collect()))["rows"] == []
     assert document["scrapeDate"] == "2024-01-01"
     assert sorted(map(str, document["rows"])) == sorted(map(str, lines))
-    with pytest.raises(ValueError):
-        exports.payload_document(rows, columns, "2024-01-01", max_rows=2)
     head = json.loads(exports.dashboard_header([1500, 2000], "2024-01-01", spark).first()[0])
     assert head["binLabels"] == ["Menos de S/ 1,500", "S/ 1,500 – 1,999", "S/ 2,000 o más"]
