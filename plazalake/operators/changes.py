@@ -74,13 +74,18 @@ def change_rows(pairs: DataFrame) -> DataFrame:
 
 
 def changes_for_day(
-    snapshots: DataFrame, day: date, previous: date | None, complete: bool
+    snapshots: DataFrame,
+    day: date,
+    previous: date | None,
+    complete: bool,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """CH2-CH6 for one processing day.
 
-    Only three slices are read: the day, the previous published day, and the
-    listing ids (one column) of all earlier days. All three meet on the
-    listing, which is unique per slice, so no key can be hot.
+    Only three slices are read: the day, the previous published day, and who was
+    ``known`` before, one row per listing (by default the distinct listing ids of all
+    earlier days). All three meet on the listing, which is unique per slice, so
+    no key can be hot.
     """
     current = snapshots.where(F.col("ingest_date") == F.lit(day)).select(
         "listing_id", sighting().alias("cur")
@@ -89,7 +94,8 @@ def changes_for_day(
     before = earlier.where(F.col("ingest_date") == F.lit(previous)).select(
         "listing_id", sighting().alias("prev")
     )
-    known = earlier.select("listing_id").distinct().withColumn("_known", F.lit(True))
+    known = earlier.select("listing_id").distinct() if known is None else known.select("listing_id")
+    known = known.withColumn("_known", F.lit(True))
     pairs = (
         current.join(known, "listing_id", "left")
         .join(before, "listing_id", "full_outer")

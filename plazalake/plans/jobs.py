@@ -99,8 +99,9 @@ def gold_job(
         raise ValueError(f"no snapshot for {day}")
     before = calendar.previous_date(snapshots, day)
     complete = calendar.is_complete(runs, day)
+    state = carried_state(spark, config, day)
     tables.replace_date(
-        _stamp(changes.changes_for_day(snapshots, day, before, complete), "calculated_at"),
+        _stamp(changes.changes_for_day(snapshots, day, before, complete, state), "calculated_at"),
         config.listing_changes,
         day,
         keys=["ingest_date", "listing_id"],
@@ -116,21 +117,38 @@ def gold_job(
     return day
 
 
+def carried_state(spark: SparkSession, config: EngineConfig, day: date) -> DataFrame | None:
+    """The stored state of all listings, if it is that of the day before ``day``, the newest one.
+
+    None as well when an older day's files are newer than the state: it was reprocessed
+    since, so what the state says of it no longer holds.
+    """
+    if not spark.catalog.tableExists(config.listing_latest):
+        return None
+    stored = spark.table(config.listing_latest)
+    held = stored.agg(F.max("last_seen_date").alias("newest"), F.max("updated_at").alias("made")).first()
+    snapshots = spark.table(config.snapshot)
+    if held["newest"] is None or held["newest"] != calendar.previous_date(snapshots, day):
+        return None
+    if day != calendar.resolve_date(None, snapshots):
+        return None
+    older = snapshots.where(F.col("ingest_date") < F.lit(day))
+    written = older.agg(F.max("_metadata.file_modification_time").alias("at")).first()["at"]
+    return stored if written <= held["made"] else None
+
+
 def publish_latest(spark: SparkSession, config: EngineConfig, base: str, day: date) -> None:
-    """CH7-CH10: carry the state forward when ``day`` is the next one, else recompute.
+    """CH7-CH10: carry the state forward when it still holds, else recompute.
 
     The state covers all history, also when an older day is reprocessed.
     """
     snapshots = spark.table(config.snapshot)
     place = f"{base.rstrip('/')}/gold_listing_latest"
-    state = lifecycle.listing_latest(snapshots)
-    if spark.catalog.tableExists(config.listing_latest):
-        stored = spark.table(config.listing_latest).drop("updated_at")
-        newest = stored.agg(F.max("last_seen_date")).first()[0]
-        expected = calendar.previous_date(snapshots, day)
-        latest_day = calendar.resolve_date(None, snapshots)
-        if newest is not None and newest == expected and day == latest_day:
-            state = lifecycle.advance_latest(stored, snapshots, day)
+    held = carried_state(spark, config, day)
+    if held is None:
+        state = lifecycle.listing_latest(snapshots)
+    else:
+        state = lifecycle.advance_latest(held.drop("updated_at"), snapshots, day)
     tables.replace_all(_stamp(state, "updated_at"), config.listing_latest, place)
 
 

@@ -130,6 +130,27 @@ def test_removed_needs_a_complete_day(spark, product):
         contracts.enforce(metrics, contracts.GOLD_CHECKS)
 
 
+def test_state_follows_a_reprocessed_day(spark, product):
+    config, raw, base = product
+    for segment, ids in ((1, "A"), (2, "B"), (3, ""), (4, "")):
+        land(raw, D1, segment, [listing(f"{D1}_b{segment}", i, "S/ 1,000", segment) for i in ids])
+    jobs.bronze_job(spark, config)
+    jobs.silver_job(spark, config, str(D1))
+    jobs.gold_job(spark, config, base, str(D1))
+    # Day 1 is published again as {B, C}; day 2 is the same.
+    day1 = spark.table(config.snapshot).where("listing_id = 'B'")
+    day1 = spark.createDataFrame(day1.collect(), day1.schema)
+    both = day1.unionByName(day1.withColumn("listing_id", F.lit("C")))
+    tables.replace_date(both, config.snapshot, D1)
+    for segment, ids in ((1, ""), (2, "BC"), (3, ""), (4, "")):
+        land(raw, D2, segment, [listing(f"{D2}_b{segment}", i, "S/ 1,000", segment) for i in ids])
+    jobs.bronze_job(spark, config)
+    jobs.silver_job(spark, config, str(D2))
+    jobs.gold_job(spark, config, base, str(D2))
+    got = {r["listing_id"]: (r["first_seen_date"], r["days_observed"]) for r in spark.table(config.listing_latest).collect()}
+    assert got == {"B": (D1, 2), "C": (D1, 2)}
+
+
 def test_full_refresh(spark, product):
     config, raw, base = product
     land(raw, D1, 1, [listing("r1", "a", "S/ 2,750.50"), listing("r1", "b", "US$ 10")], run="r1")
