@@ -1,18 +1,24 @@
 """Toxicity by a subsequence string kernel, a support vector machine and Nystroem landmarks.
 
-The kernel of two strings sums over their common subsequences of three letters, each
-weighed down by the stretch it covers in both; so letters put in between or gaps lower
-the similarity but don't remove it. A sentence's instances are its words, reduced to
-letters, and its runs of single letters; a sentence is as toxic as its most toxic
-instance, and a document as its most toxic sentence (multiple-instance learning: of a
-toxic document only the sentences that hold a telling instance count as positive).
+The kernel of two strings sums over their common subsequences of three letters that
+stretch over at most five, each weighed down by its stretch in both; so letters put in
+between or gaps lower the similarity but don't remove it. A sentence's instances are its
+words, reduced to letters, and its runs of single letters; a sentence is as toxic as its
+most toxic instance, and a document as its most toxic sentence (multiple-instance
+learning: of a toxic document only the sentences that hold a telling instance count as
+positive).
+
+The machine is linear in the similarities to the landmarks, and each of those is linear in the
+weights of a string's subsequences. So a fitted model is one table, a weight for each
+three letters, and whole batches of texts are scored by looking subsequences up.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,120 +27,221 @@ from pyspark.sql import functions as F
 
 from plazalake.llm.common import empty_if_null
 
-ORDER, DECAY = 3, 0.6
+ORDER, DECAY = 3, 0.7
+#: Places of a subsequence's second and third letter behind its first.
+STEPS = tuple((i, j) for j in range(2, 5) for i in range(1, j))
+#: Letter classes: a to z, other letters by code point, and the marks of a word's two ends.
+LATIN, CLASSES = 26, 64
+START, END = CLASSES - 2, CLASSES - 1
 #: Letters of an instance; longer words are taken in overlapping pieces.
 PIECE = 24
 #: Most labelled documents that the model is fitted on: those whose keys' hashes come first.
 FIT_DOCUMENTS = 8_000
 #: Most instances of each class, and landmarks of each class.
-POSITIVE, NEGATIVE, LANDMARKS = 64, 4000, 24
-#: A telling instance: in so many toxic documents and with so large a log-odds z-score.
-LEAST_DOCUMENTS, LEAST_Z = 4, 4.0
+POSITIVE, NEGATIVE, LANDMARKS = 1000, 4000, 40
+#: Telling are letter groups of GRAM, with marks for a word's ends, in so many toxic
+#: documents, with so large a root of the likelihood ratio (of millions of groups none
+#: gets there by chance); and so many at most.
+GRAM, LEAST_DOCUMENTS, LEAST_Z, TELLING = 5, 4, 5.5, 400
+#: Landmarks of one class are less alike than this.
+ALIKE = 0.6
 PREDICT_FROM = 0.7
-COST = 10.0
-#: Instance scores that a worker keeps.
-CACHED = 300_000
+COST = 1.0
+#: Letters that are scored at a time.
+SLICE = 1 << 20
 
 SENTENCE_END = re.compile(r"[.!?\n]+(?=\s|$)")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: Three or more single letters with only white space between.
-SPELLED = re.compile(r"(?<!\S)[^\W\d_](?:\s+[^\W\d_]){2,}(?!\S)")
+SPELLED = re.compile(r"(?<!\S)[^\W\d_](?:\s+[^\W\d_]){2,}(?!\w)")
 
 
 def instances(text: str) -> set[str]:
-    """The strings that a sentence or a whole text is judged by; pieces of up to PIECE letters."""
+    """The strings that a sentence is judged by; pieces of up to PIECE letters."""
     text = text.lower()
     words = {NOT_LETTERS.sub("", w) for w in set(text.split())}
     words.update(NOT_LETTERS.sub("", run) for run in SPELLED.findall(text))
-    found = set()
-    for w in words:
-        if len(w) <= PIECE:
-            if len(w) >= ORDER:
-                found.add(w)
-        else:
-            step = PIECE // 2
-            found.update(w[i : i + PIECE] for i in range(0, len(w) - step, step))
-    return found
-
-
-def _codes(strings: list[str]) -> np.ndarray:
-    """Code points, one row a string, padded with zeros."""
-    width = max(map(len, strings), default=1)
-    joined = "".join(s.ljust(width, "\0") for s in strings)
-    return np.frombuffer(joined.encode("utf-32-le"), np.uint32).reshape(len(strings), width)
-
-
-def _kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Kernel values of n x a codes with n (or 1) x m x b codes, n x m.
-
-    ``tail[i]`` holds, for each prefix of the right strings, the weight of common
-    subsequences of i letters, stretched to the ends of both prefixes.
-    """
-    n, m, b = len(left), right.shape[1], right.shape[2]
-    spread = np.triu(DECAY ** np.maximum(np.arange(b)[None, :] - np.arange(b)[:, None], 0)).astype(np.float32)
-    tail = [np.ones((n, m, b + 1), np.float32)]
-    tail += [np.zeros((n, m, b + 1), np.float32) for _ in range(ORDER - 1)]
-    total = np.zeros((n, m), np.float32)
-    for x in left.T:
-        same = ((right == x[:, None, None]) & (x != 0)[:, None, None]).astype(np.float32)
-        total += DECAY**2 * (same * tail[-1][:, :, :-1]).sum(2)
-        for i in range(ORDER - 1, 0, -1):
-            hit = (same * tail[i - 1][:, :, :-1]).reshape(-1, b) @ spread
-            tail[i][:, :, 1:] *= DECAY
-            tail[i][:, :, 1:] += DECAY**2 * hit.reshape(n, m, b)
+    return {w[i : i + PIECE] for w in words if len(w) >= ORDER for i in _pieces(len(w))}
+
+
+def _pieces(length: int) -> range:
+    return range(0, max(1, length - PIECE // 2), PIECE // 2)
+
+
+SPACE, DROPPED = 0, 255
+
+
+@cache
+def _class_table() -> np.ndarray:
+    """Class of each code point of the basic plane: SPACE, a letter's, or DROPPED."""
+    table = np.full(0x10000, DROPPED, np.uint8)
+    for code in range(0x10000):
+        char = chr(code).lower()[:1]
+        if char.isspace():
+            table[code] = SPACE
+        elif char.isalpha():
+            at = ord(char) - ord("a")
+            table[code] = 1 + at if 0 <= at < LATIN else 1 + LATIN + at % (CLASSES - LATIN - 3)
+    return table
+
+
+def classes(text: str) -> np.ndarray:
+    """Letter classes of a text, SPACE between words; what is neither is left out."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    found = _class_table()[np.minimum(codes, 0xFFFF)]
+    return found[found != DROPPED]
+
+
+def size_of(lengths: np.ndarray) -> np.ndarray:
+    """What a string's kernel values are divided by: the root of its own subsequences' squares."""
+    total = np.zeros(len(lengths))
+    for _, j in STEPS:
+        total += DECAY ** (2 * (j + 1)) * np.maximum(lengths - j, 0)
+    return np.sqrt(total)
+
+
+def _places(letters: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
+    """For each pair of steps: table places of the subsequences that begin at each letter
+    (place 0 where one would leave its word), and their weight."""
+    wide = letters.astype(np.int32)
+    breaks = np.cumsum(letters == SPACE, dtype=np.int32)
+    for i, j in STEPS:
+        n = max(0, len(wide) - j)
+        place = (wide[:n] * CLASSES + wide[i : i + n]) * CLASSES + wide[j : j + n]
+        whole = (breaks[:n] == breaks[j : j + n]) & (wide[:n] != SPACE)
+        yield np.where(whole, place, 0), DECAY ** (j + 1)
+
+
+def _weights_from(letters: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum of the table's weights of the subsequences that begin at each letter."""
+    total = np.zeros(len(letters))
+    for place, weight in _places(letters):
+        total[: len(place)] += weight * table[place]
     return total
 
 
-def similarities(strings: list[str], landmarks: list[str], block: int = 256) -> np.ndarray:
-    """Kernel values divided by the roots of both strings' own; 0 for strings under three letters."""
-    marks = _codes(landmarks)
-    own = np.sqrt(_kernel(marks, marks[:, None, :])[:, 0])
-    out = np.zeros((len(strings), len(landmarks)), np.float32)
-    order = sorted(range(len(strings)), key=lambda i: len(strings[i]))
-    for i in range(0, len(strings), block):
-        at = order[i : i + block]
-        codes = _codes([strings[j] for j in at])
-        self_root = np.sqrt(_kernel(codes, codes[:, None, :])[:, 0])
-        norm = self_root[:, None] * own[None, :]
-        out[at] = np.divide(_kernel(codes, marks[None]), norm, out=np.zeros(norm.shape, np.float32), where=norm > 0)
+def _words(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of letters."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], letters != SPACE, [False]])))
+    return edge[::2], edge[1::2]
+
+
+def _marked(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letters with a mark at both ends of each word, and the words' new starts and ends."""
+    shift = 2 * np.arange(len(starts))
+    out = np.zeros(len(letters) + 2 * len(starts), np.uint8)
+    inside = np.flatnonzero(letters)
+    out[inside + np.repeat(shift + 1, ends - starts)] = letters[inside]
+    out[starts + shift], out[ends + shift + 1] = START, END
+    return out, starts + shift, ends + shift + 2
+
+
+def _strings(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marked classes of some strings of letters, and where each starts and ends among them."""
+    codes = [_class_table()[min(ord(c), 0xFFFF)] for s in strings for c in [*s, " "]]
+    ends = np.cumsum([len(x) + 1 for x in strings]) - 1
+    return _marked(np.array(codes, np.uint8), ends - [len(x) for x in strings], ends)
+
+
+def table_of(string: str) -> np.ndarray:
+    """The string's subsequence weights over its size."""
+    letters, starts, ends = _strings([string])
+    table = np.zeros(CLASSES**3)
+    for place, weight in _places(letters):
+        np.add.at(table, place, weight)
+    table[0] = 0
+    return table / size_of(ends - starts)[0]
+
+
+def similarities(strings: list[str], landmarks: list[str]) -> np.ndarray:
+    """Kernel values over both sizes, strings x landmarks."""
+    letters, starts, ends = _strings(strings)
+    sizes = size_of(ends - starts)
+    out = np.zeros((len(strings), len(landmarks)))
+    for k, mark in enumerate(landmarks):
+        upto = np.concatenate([[0], np.cumsum(_weights_from(letters, table_of(mark)))])
+        out[:, k] = (upto[ends] - upto[starts]) / sizes
     return out
 
 
 @dataclass
 class Model:
-    """Weights on the similarities to the landmarks, and the calibration of document scores."""
+    """The landmarks with their weights, and the calibration of document scores."""
 
     landmarks: list[str]
     weights: np.ndarray
     bias: float
-    slope: float = 1.0
-    offset: float = 0.0
-    known: dict[str, float] = field(default_factory=dict, repr=False)
-
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "known": {}}
-
-    def decide(self, strings: list[str]) -> np.ndarray:
-        if not self.landmarks:
-            return np.full(len(strings), self.bias)
-        return similarities(strings, self.landmarks) @ self.weights + self.bias
-
-    def raw(self, strings: Iterable[str]) -> float:
-        """The largest decision value of the strings; that of no match at all for none."""
-        strings = set(strings)
-        new = list(strings.difference(self.known))
-        if new:
-            if len(self.known) + len(new) > CACHED:
-                self.known.clear()
-                new = list(strings)
-            self.known.update(zip(new, self.decide(new).tolist(), strict=True))
-        return max(map(self.known.__getitem__, strings), default=self.bias)
-
-    def score(self, text: str | None) -> float:
-        return self.probability(self.raw(instances(text or "")))
-
-    def probability(self, raw: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * raw + self.offset, -40, 40))))
+    calibration: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0)
+
+    def table(self) -> np.ndarray:
+        table = np.zeros(CLASSES**3)
+        for mark, weight in zip(self.landmarks, self.weights, strict=True):
+            table += weight * table_of(mark)
+        return table
+
+    def probability(self, found: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(_document_features(found) @ np.array(self.calibration), -40, 40)))
+
+
+def _document_features(found: np.ndarray) -> np.ndarray:
+    """Of a text's (largest decision value, sum of positive values, instances): the largest
+    value, within the margins, the others' sum and the length, on a log scale."""
+    most, total, n = found.T
+    clipped = np.clip(most, -1.5, 1.0)
+    rest = np.maximum(total - np.maximum(most, 0), 0)
+    return np.column_stack([clipped, np.log1p(rest), np.log1p(n), np.ones(len(found))])
+
+
+def _spelled(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The runs of three or more single letters, joined, each with a SPACE behind it."""
+    single = np.concatenate([[False], ends - starts == 1, [False]])
+    edge = np.flatnonzero(single[1:] != single[:-1])
+    runs = [letters[starts[a:b]] for a, b in zip(edge[::2], edge[1::2], strict=True) if b - a >= ORDER]
+    return np.concatenate([np.append(r, SPACE) for r in runs]) if runs else letters[:0]
+
+
+def raw_scores(texts: list[str], table: np.ndarray, bias: float) -> np.ndarray:
+    """(largest decision value, sum of positive ones, number) of each text's instances;
+    ``bias``, the value of no match, for a text without any."""
+    parts, owners, n = [], [], 0
+    out = np.column_stack([np.full(len(texts), bias), np.zeros(len(texts)), np.zeros(len(texts))])
+
+    def flush() -> None:
+        letters = np.concatenate(parts)
+        starts, ends = _words(letters)
+        owner = np.array(owners)[np.searchsorted(np.cumsum([len(p) for p in parts]), starts, side="right")]
+        fits = ends - starts >= ORDER
+        letters, starts, ends = _marked(letters, starts, ends)
+        starts, ends, owner = starts[fits], ends[fits], owner[fits]
+        upto = np.concatenate([[0], np.cumsum(_weights_from(letters, table))])
+        long = np.flatnonzero(ends - starts > PIECE + 2)
+        if len(long):
+            cut = [
+                (starts[w] + i, min(starts[w] + i + PIECE, ends[w]), owner[w])
+                for w in long
+                for i in _pieces(ends[w] - starts[w])
+            ]
+            begin, end, whose = np.array(cut).T
+            starts, ends, owner = (
+                np.concatenate([np.delete(x, long), y]) for x, y in ((starts, begin), (ends, end), (owner, whose))
+            )
+        values = (upto[ends] - upto[starts]) / size_of(ends - starts) + bias
+        np.maximum.at(out[:, 0], owner, values)
+        out[:, 1] += np.bincount(owner, np.minimum(np.maximum(values, 0), 1), len(out))
+        out[:, 2] += np.bincount(owner, minlength=len(out))
+
+    for i, text in enumerate(texts):
+        letters = np.append(classes(text), np.uint8(SPACE))
+        letters = np.concatenate([letters, _spelled(letters, *_words(letters))])
+        parts.append(letters)
+        owners.append(i)
+        n += len(letters)
+        if n >= SLICE:
+            flush()
+            parts, owners, n = [], [], 0
+    if parts:
+        flush()
+    return out
 
 
 def _svm(features: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
@@ -154,43 +261,53 @@ def _svm(features: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple
     return w[:-1], float(w[-1])
 
 
+def _spread(strings: list[str], most: int = LANDMARKS) -> list[str]:
+    """The first strings of which none is much like an earlier one."""
+    chosen: list[str] = []
+    alike = np.zeros(len(strings))
+    for i, string in enumerate(strings):
+        if alike[i] < ALIKE:
+            chosen.append(string)
+            if len(chosen) == most:
+                break
+            alike = np.maximum(alike, similarities(strings, [string])[:, 0])
+    return chosen
+
+
 def _fit_machine(positive: dict[str, int], negative: dict[str, int]) -> Model:
-    """Landmarks: the strongest positive strings and the negative ones most like them."""
+    """Landmarks: positive strings unlike each other, and the negative ones most like them."""
     if not positive or not negative:
         return Model([], np.zeros(0), -1.0)
     strong = sorted(positive, key=lambda s: (-positive[s], s))
-    names = sorted(negative)
-    near = similarities(names, strong[:LANDMARKS]).max(1)
-    hard = [names[i] for i in np.lexsort((names, -near))]
-    landmarks = strong[:LANDMARKS] + hard[:LANDMARKS]
-    values, vectors = np.linalg.eigh(similarities(landmarks, landmarks).astype(np.float64))
+    names = sorted(set(negative).difference(positive))
+    marks = _spread(strong)
+    near = similarities(names, marks).max(1)
+    hard = _spread([names[i] for i in np.lexsort((names, -near))])
+    landmarks = marks + hard
+    values, vectors = np.linalg.eigh(similarities(landmarks, landmarks))
     kept = values > 1e-3
     root = vectors[:, kept] / np.sqrt(values[kept])
-    strings = strong + names
-    features = similarities(strings, landmarks) @ root
+    features = similarities(strong + names, landmarks) @ root
     labels = np.array([1.0] * len(strong) + [-1.0] * len(names))
     counts = np.array([positive[s] for s in strong] + [negative[s] for s in names], np.float64)
-    counts = np.sqrt(counts)
-    for side in (1, -1):
-        counts[labels == side] /= counts[labels == side].sum() / 100
     w, bias = _svm(features, labels, counts)
-    return Model(landmarks, (root @ w).astype(np.float32), bias)
+    return Model(landmarks, root @ w, bias)
 
 
-def _calibrate(model: Model, raw: np.ndarray, labels: np.ndarray) -> None:
-    """Logistic regression of the labels on the documents' decision values."""
+def _calibrate(model: Model, found: np.ndarray, labels: np.ndarray) -> None:
+    """Logistic regression of the labels on the documents' features."""
     if len(set(labels.tolist())) < 2:
         return
-    x = np.column_stack([raw, np.ones(len(raw))])
-    w = np.zeros(2)
-    for _ in range(100):
+    x = _document_features(found)
+    w = np.zeros(x.shape[1])
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (labels - p) - 1e-3 * w)
-        w = w + np.clip(step, -5, 5)
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
+        step = np.clip(np.linalg.solve(hessian, x.T @ (labels - p) - 1e-2 * w), -2, 2)
+        w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    if w[0] > 0:
-        model.slope, model.offset = float(w[0]), float(w[1])
+    model.calibration = tuple(w.tolist())
 
 
 def fit(labelled: DataFrame) -> Model:
@@ -202,69 +319,94 @@ def fit(labelled: DataFrame) -> Model:
     chosen = chosen.repartition(labelled.sparkSession.sparkContext.defaultParallelism).persist()
     try:
         totals = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-        counts = (
-            chosen.mapInArrow(_labelled_sentences, "toxic int, instance string")
-            .groupBy("instance")
-            .agg(
-                F.sum("toxic").cast("long").alias("bad"),
-                F.sum(1 - F.col("toxic")).cast("long").alias("good"),
-            )
-        ).persist()
-        model = _fit_machine(_telling(counts, totals), _ordinary(counts))
+        strings = chosen.mapInArrow(_labelled_sentences, "toxic int, gram boolean, string string")
+        counts = strings.groupBy("gram", "string").agg(
+            F.sum("toxic").cast("long").alias("bad"), F.sum(1 - F.col("toxic")).cast("long").alias("good")
+        )
+        counts = counts.persist()
+        telling = _telling(counts.where("gram"), totals)
+        found = counts.where("NOT gram").drop("gram")
+        model = _fit_machine(
+            _with_telling(found.where("bad > good"), telling, "bad"), _ordinary(found, telling)
+        )
         counts.unpersist()
-        scored = chosen.mapInArrow(_raw_scores(model), "raw double, toxic int").toPandas()
-        _calibrate(model, scored["raw"].to_numpy(), scored["toxic"].to_numpy(np.float64))
+        scored = chosen.mapInArrow(_raw_scores(model), "most double, total double, n double, toxic int").toPandas()
+        _calibrate(model, scored[["most", "total", "n"]].to_numpy(), scored["toxic"].to_numpy(np.float64))
     finally:
         chosen.unpersist()
     return model
 
 
+def grams(string: str) -> set[str]:
+    marked = f"^{string}$"
+    return {marked[i : i + GRAM] for i in range(max(1, len(marked) - GRAM + 1))}
+
+
 def _labelled_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, instance): each distinct instance of a document's sentences, with its label."""
+    """(toxic, gram, string): each distinct instance of a document's sentences, and each
+    of their letter groups, with the document's label."""
     for batch in batches:
         for text, toxic in zip(batch.column("text"), batch.column("toxic"), strict=True):
             found: set[str] = set()
             for sentence in SENTENCE_END.split(text.as_py()):
                 found |= instances(sentence)
+            groups = set().union(*map(grams, found)) if found else set()
+            strings = [*sorted(found), *sorted(groups)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([toxic.as_py()] * len(found), pa.int32()), pa.array(sorted(found), pa.string())],
-                ["toxic", "instance"],
+                [
+                    pa.array([toxic.as_py()] * len(strings), pa.int32()),
+                    pa.array([False] * len(found) + [True] * len(groups), pa.bool_()),
+                    pa.array(strings, pa.string()),
+                ],
+                ["toxic", "gram", "string"],
             )
 
 
-def _telling(counts: DataFrame, totals: dict[int, int]) -> dict[str, int]:
-    """The instances with the largest smoothed log-odds z-scores for toxic documents."""
+def _telling(counts: DataFrame, totals: dict[int, int]) -> set[str]:
+    """The letter groups that tell most, by the signed root of the likelihood ratio of
+    their document counts."""
     bad, good = totals.get(1, 0), totals.get(0, 0)
+    share = bad / max(1, bad + good)
 
-    def log_odds(hits: Column, of: int) -> Column:
-        return F.log((hits + 0.5) / (F.lit(of + 0.5) - hits))
-
-    odds = log_odds(F.col("bad"), bad) - log_odds(F.col("good"), good)
-    spread = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
-    rows = (
-        counts.where(F.col("bad") >= LEAST_DOCUMENTS)
-        .withColumn("z", odds / spread)
-        .where(F.col("z") >= LEAST_Z)
-        .orderBy(F.desc("z"), "instance")
-        .limit(POSITIVE)
-        .collect()
-    )
-    return {r["instance"]: r["bad"] for r in rows}
+    def part(hits: Column, of: float) -> Column:
+        return F.when(hits > 0, hits * F.log(hits / ((F.col("bad") + F.col("good")) * of))).otherwise(0.0)
 
+    likely = counts.where((F.col("bad") >= LEAST_DOCUMENTS) & (F.col("bad") > F.col("good")))
+    ratio = part(F.col("bad"), share) + part(F.col("good"), 1 - share)
+    rows = likely.withColumn("z", F.sqrt(2 * F.greatest(ratio, F.lit(0.0)))).where(F.col("z") >= LEAST_Z)
+    return {r["string"] for r in rows.orderBy(F.desc("z"), "string").limit(TELLING).collect()}
 
-def _ordinary(counts: DataFrame) -> dict[str, int]:
-    """Instances of clean documents: half the most frequent, half by hash."""
+
+def _with_telling(counts: DataFrame, telling: set[str], hits: str) -> dict[str, int]:
+    """The instances that hold a telling letter group, with their documents; the most frequent first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [not telling.isdisjoint(grams(x)) for x in batch.column("string").to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    rows = counts.select("string", hits)
+    found = rows.mapInArrow(run, rows.schema).orderBy(F.desc(hits), F.xxhash64("string"), "string")
+    return {r["string"]: r[hits] for r in found.limit(POSITIVE).collect()}
+
+
+def _ordinary(counts: DataFrame, telling: set[str]) -> dict[str, int]:
+    """Instances of clean documents: the most frequent, some by hash, and those that hold a
+    telling letter group."""
     good = counts.where("good > 0 AND bad <= good")
-    frequent = good.orderBy(F.desc("good"), "instance").limit(NEGATIVE // 2)
-    spread = good.orderBy(F.xxhash64("instance"), "instance").limit(NEGATIVE // 2)
-    return {r["instance"]: r["good"] for r in frequent.unionByName(spread).collect()}
+    frequent = good.orderBy(F.desc("good"), "string").limit(NEGATIVE // 2)
+    spread = good.orderBy(F.xxhash64("string"), "string").limit(NEGATIVE // 2)
+    rows = frequent.unionByName(spread).collect()
+    return {r["string"]: r["good"] for r in rows} | _with_telling(good, telling, "good")
 
 
 def _raw_scores(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = model.table()
         for batch in batches:
-            raw = [model.raw(instances(x.as_py())) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(raw, pa.float64()), batch.column("toxic")], ["raw", "toxic"])
+            found = raw_scores(batch.column("text").to_pylist(), table, model.bias)
+            columns = [*map(pa.array, np.ascontiguousarray(found.T)), batch.column("toxic")]
+            yield pa.RecordBatch.from_arrays(columns, ["most", "total", "n", "toxic"])
 
     return run
 
@@ -275,29 +417,18 @@ def score(docs: DataFrame, model: Model, *keys: str) -> DataFrame:
     rows = docs.select(*dict.fromkeys([*keys, "text"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = _shared(model)
+        table = model.table()
         for batch in batches:
-            scores = [kept.score(x.as_py()) for x in batch.column("text")]
+            texts = [x or "" for x in batch.column("text").to_pylist()]
+            scores = model.probability(raw_scores(texts, table, model.bias))
             columns = [batch.column(k) for k in keys]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], [*keys, "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], [*keys, "score"])
 
     schema = ", ".join([*(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys), "score double"])
     scored = rows.mapInArrow(run, schema)
     return scored.withColumn("predicted", (F.col("score") >= PREDICT_FROM).cast("int"))
 
 
-_workers: dict[tuple, Model] = {}
-
-
-def _shared(model: Model) -> Model:
-    """One model a worker process, so that its known instances outlive a task."""
-    key = (tuple(model.landmarks), model.weights.tobytes(), model.bias, model.slope, model.offset)
-    if key not in _workers:
-        _workers.clear()
-        _workers[key] = model
-    return _workers[key]
-
-
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 

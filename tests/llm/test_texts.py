@@ -111,16 +111,30 @@ def test_string_kernel_is_that_of_its_definition():
         total = 0.0
         for i in combinations(range(len(s)), 3):
             for j in combinations(range(len(t)), 3):
-                if all(s[a] == t[b] for a, b in zip(i, j, strict=True)):
+                near = i[-1] - i[0] < 5 and j[-1] - j[0] < 5
+                if near and all(s[a] == t[b] for a, b in zip(i, j, strict=True)):
                     total += toxicity.DECAY ** (i[-1] - i[0] + 1 + j[-1] - j[0] + 1)
         return total
 
-    words, marks = ["idiot", "ixdiot", "abcabc", "zz", "tidio"], ["idiot", "cabbage", "iot"]
+    def size(s):
+        return sum(toxicity.DECAY ** (2 * (i[-1] - i[0] + 1)) for i in combinations(range(len(s)), 3) if i[-1] - i[0] < 5) ** 0.5
+
+    words, marks = ["idiot", "ixdiot", "abcabc", "zzz", "tidio"], ["idiot", "cabbage", "iot"]
     got = toxicity.similarities(words, marks)
     for i, s in enumerate(words):
         for j, t in enumerate(marks):
-            norm = (plain(s, s) * plain(t, t)) ** 0.5
-            assert got[i, j] == pytest.approx(plain(s, t) / norm if norm else 0, abs=1e-5)
+            a, b = f"^{s}$", f"^{t}$"
+            assert got[i, j] == pytest.approx(plain(a, b) / size(a) / size(b), abs=1e-9)
+
+
+def test_scores_of_texts_are_those_of_their_instances():
+    table, texts = toxicity.table_of("idiot"), ["", "a b", "You IDIOT! i d i o t", "x" * 100 + " i.di.ot", "é" * 30, "no"]
+    for text, (most, _, n) in zip(texts, toxicity.raw_scores(texts, table, -1.0), strict=True):
+        strings = sorted(toxicity.instances(text))
+        want = [toxicity.similarities([s], ["idiot"])[0, 0] - 1 for s in strings if len(s) < toxicity.PIECE]
+        assert most >= max(want, default=-1.0) - 1e-9 and (n > 0) == bool(strings)
+        if all(len(s) < toxicity.PIECE for s in strings):
+            assert most == pytest.approx(max(want, default=-1.0))
 
 
 def test_instances():
@@ -129,19 +143,17 @@ def test_instances():
 
 
 def test_toxicity_held_out(spark):
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
     model = toxicity.fit_on_labels(docs, labels)
-    found = toxicity.score(docs, model, "doc_id", "text").join(labels, "doc_id")
-    rows = found.where(toxicity.held_out(F.col("doc_id"))).collect()
-    insults = {m for m in model.landmarks[: len(model.landmarks) // 2]}
-    toxic = [r for r in rows if r["toxic"] and insults & set(re.findall(r"\w+", r["text"].lower()))]
-    clean = [r for r in rows if not r["toxic"]]
-    assert sum(r["predicted"] for r in toxic) >= 0.9 * len(toxic) > 3
-    assert sum(r["predicted"] for r in clean) <= 0.02 * len(clean)
-    word = max(insults, key=lambda w: model.raw([w]))
-    for text in (" ".join(word), ".".join(word), word[:2] + "x" + word[2:], word.upper()):
-        assert model.score(f"the and {text} of") > model.score("the and of") + 0.2
+    rows = toxicity.score(docs.join(labels, "doc_id"), model, "doc_id", "toxic").where(toxicity.held_out(F.col("doc_id"))).collect()
+    toxic = [r["predicted"] for r in rows if r["toxic"]]
+    clean = [r["predicted"] for r in rows if not r["toxic"]]
+    assert sum(toxic) >= 0.85 * len(toxic) > 100
+    assert sum(clean) <= 0.01 * len(clean)
+    table = model.table()
+    plain, *gapped = toxicity.raw_scores(["the and of", "i d i o t", "i.d.i.o.t", "IDIOT", "idxiot"], table, model.bias)[:, 0]
+    assert min(gapped) > plain + 0.5
 
 
 def test_toxicity_of_odd_rows(odd, clashing, frame, spark):
