@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -418,13 +419,21 @@ def _third_reduce(table: pa.Table) -> pa.Table:
 # The whole.
 
 
-def _pass(rows: DataFrame, run, reduce, name: str) -> DataFrame:
-    """Found rows of one digit: those the tasks know themselves, and those of the buckets."""
-    mapped = written(rows.mapInArrow(run, PACKED_ROW), f"{name}-entries")
-    entries = mapped.where(F.col("kind") == FOR_BUCKET)
-    found = entries.groupBy("bucket").applyInArrow(lambda table: reduce(table), PACKED_ROW)
-    both = mapped.where(F.col("kind") != FOR_BUCKET).unionByName(found)
-    return written(both.select("kind", "uid", "at"), f"{name}-found")
+def _pass(rows: DataFrame, run, reduce, buckets: int, name: str) -> DataFrame:
+    """Found rows of one digit: those the tasks know themselves, and those of the buckets.
+
+    Both travel in one shuffle; found rows go to any bucket and through it unchanged.
+    """
+
+    def sort_bucket(table: pa.Table) -> pa.Table:
+        entries = pc.equal(table.column("kind"), FOR_BUCKET)
+        return pa.concat_tables([table.filter(pc.invert(entries)), reduce(table.filter(entries))])
+
+    mapped = rows.mapInArrow(run, PACKED_ROW)
+    anywhere = F.pmod(F.xxhash64("uid"), F.lit(buckets)).cast("int")
+    dealt = mapped.withColumn("bucket", F.coalesce("bucket", anywhere))
+    found = dealt.groupBy("bucket").applyInArrow(lambda table: sort_bucket(table), PACKED_ROW)
+    return written(found.select("kind", "uid", "at"), f"{name}-found")
 
 
 def _marks(found: DataFrame, kind: int, name: str) -> DataFrame:
@@ -525,14 +534,14 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     buckets = max(BUCKETS_EACH * parts, -(-size // BUCKET_BYTES))
 
     own = heads.where("uid = first_uid").select("uid").hint("shuffle_hash")
-    shared = _pass(texts.join(own, "uid", "left_semi").select("uid", "text"), _first_map(buckets), _first_reduce, "first")
+    shared = _pass(texts.join(own, "uid", "left_semi").select("uid", "text"), _first_map(buckets), _first_reduce, buckets, "first")
 
     def marked(found: DataFrame) -> DataFrame:
         marks = _marks(found, STAYS, "marks").hint("shuffle_hash")
         return texts.join(marks, "uid").select("uid", "ord", "text", "marks")
 
-    second = _pass(marked(shared), _second_map(buckets), _second_reduce, "second")
-    third = _pass(marked(second), _third_map(buckets), _third_reduce, "third")
+    second = _pass(marked(shared), _second_map(buckets), _second_reduce, buckets, "second")
+    third = _pass(marked(second), _third_map(buckets), _third_reduce, buckets, "third")
 
     found = second.where(F.col("kind") == REPEATED).unionByName(third.where(F.col("kind") == WINDOWS))
     # Rows that repeat both the text and the doc_id of a first row share what it found.
