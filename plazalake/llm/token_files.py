@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,35 +31,78 @@ FILE_OPTIONS = {
     "parquet.enable.dictionary": True,
     "parquet.writer.version": "v2",
 }
-#: Words whose ids a worker keeps.
-CACHED_WORDS = 200_000
+#: Words of a generation whose ids a worker keeps.
+CACHED_WORDS = 500_000
 
+_STOPS = b".,"
+_END = np.int32(END_ID).tobytes()
 _encoders: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Encodes texts word by word with a kept table of words.
+    """Encodes texts word by word, keeping the ids of words in two generations: a full
+    young one becomes the old one, whose words come back as they are met again.
 
-    The vocabulary's normaliser and splitter never look across ASCII white space, so
-    a text's ids are those of its words in order.
+    The vocabulary's normaliser and splitter never look across ASCII white space, so a
+    text's ids are those of its words in order. It lower-cases, and splits a full stop or
+    comma from a letter before it. Only its special strings reach across such
+    borders; texts that may hold one are encoded whole.
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.encode().split()
-        new = list(set(words).difference(self.known))
-        if new:
-            if len(self.known) + len(new) > self.most:
-                self.known.clear()
-                new = list(set(words))
-            made = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            self.known.update((w, tuple(e.ids)) for w, e in zip(new, made, strict=True))
-        ids = np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
-        return np.append(ids, np.int32(END_ID))
+        self.tokenizer, self.most, self.young, self.old = Tokenizer.from_file(path), most, {}, {}
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text and the end id."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        split = [None if "<|" in t else t.encode().split() for t in texts]
+        self._learn(set().union(*filter(None, split)).difference(self.young))
+        get = self.young.__getitem__
+        return [
+            np.frombuffer(b"".join([*map(get, words), _END]), np.int32)
+            if words is not None
+            else np.array([*self.tokenizer.encode(t, add_special_tokens=False).ids, END_ID], np.int32)
+            for t, words in zip(texts, split, strict=True)
+        ]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Put the ids of ``words`` and of all they consist of into the young generation."""
+        young, old = self.young, self.old
+        parts, alike, stopped = set(), [], []
+        for word in words:
+            ids = old.get(word)
+            if ids is not None:
+                young[word] = ids
+                continue
+            low = word.lower()
+            if low[-1] in _STOPS and low[-2:-1].isalpha():
+                stopped.append((word, low[:-1], low[-1:]))
+                parts.update(stopped[-1][1:])
+            else:
+                parts.add(low)
+                if low != word:
+                    alike.append((word, low))
+        parts.difference_update(young)
+        known = [p for p in parts if p in old]
+        young.update((p, old[p]) for p in known)
+        parts.difference_update(known)
+        self._encode(list(parts))
+        young.update((word, young[low]) for word, low in alike)
+        young.update((word, young[low] + young[stop]) for word, low, stop in stopped)
+
+    def _encode(self, words: list[bytes], at_once: int = 20_000) -> None:
+        for i in range(0, len(words), at_once):
+            some = [w.decode() for w in words[i : i + at_once]]
+            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begins = np.cumsum([0, *(len(w) + 1 for w in some)])
+            places = np.fromiter((a for a, _ in made.offsets), np.int64, len(made.ids))
+            cuts = np.searchsorted(places, begins)
+            data = memoryview(np.array(made.ids, np.int32)).cast("B")
+            for word, a, b in zip(words[i : i + at_once], cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                self.young[word] = bytes(data[a * 4 : b * 4])
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -76,7 +118,7 @@ def _encode(path: str):
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                ids = [encode(x.as_py()) for x in part.column("text")]
+                ids = encode(part.column("text").to_pylist())
                 n = np.fromiter(map(len, ids), np.int64, len(ids))
                 ends = at + np.cumsum(n)
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)

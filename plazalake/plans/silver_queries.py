@@ -173,7 +173,7 @@ def silver_bedroom_options(spark, sf_dir):
 )
 def silver_options_summary(spark, sf_dir):
     """PX2."""
-    return monitors.options_summary(options.bedroom_options(snapshots(spark, sf_dir, False)))
+    return monitors.options_summary(options.bedroom_options(snapshots(spark, sf_dir)))
 
 
 @query(
