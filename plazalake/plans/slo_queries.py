@@ -106,14 +106,16 @@ def slo_rerun_checksum(spark, sf_dir):
 
 @query(
     """SELECT a.district_key, a.bedrooms AS from_bedrooms, b.bedrooms AS to_bedrooms,
-      round(b.avg_rent_pen - a.avg_rent_pen, 6) AS premium
+      round(b.avg_rent_pen - a.avg_rent_pen, 6) AS premium,
+      CASE WHEN a.avg_rent_pen > 0 THEN round((b.avg_rent_pen - a.avg_rent_pen) / a.avg_rent_pen * 100, 2)
+        END AS premium_pct
     FROM rolled_bed a JOIN rolled_bed b
       ON b.district_key = a.district_key AND b.bedrooms = a.bedrooms + 1"""
 )
 def market_rent_premium(spark, sf_dir):
     """DX8."""
     premium = slo.rent_premium(by_district_bedrooms(spark, sf_dir))
-    return premium.withColumn("premium", F.round("premium", 6)).drop("premium_pct")
+    return premium.withColumn("premium", F.round("premium", 6))
 
 
 @query(
