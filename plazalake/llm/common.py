@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +15,26 @@ from plazalake.sources.tables import scratch_root
 SPACES = r"\x20\x09-\x0D"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Installed packages and ``--py-files`` need no such help; a path that a worker
+    doesn't have does no harm.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder that ``spark.checkpoint.dir`` names."""
+    reachable(spark)
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
