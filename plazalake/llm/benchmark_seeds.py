@@ -48,7 +48,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of the texts, and each text's end among them.
 
-    Tokens are runs of lower-cased ASCII letters, digits and bytes beyond ASCII.
+    Tokens are runs of ASCII letters in lower case, digits and bytes beyond ASCII; other
+    capitals are to be lower-cased before.
     """
     data = b"\n".join(texts) + b"\n"
     raw = _LOWER[np.frombuffer(data, np.uint8)]
@@ -92,7 +93,7 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts) of up to SLICE bytes, or one longer text."""
     held, n, start = [], 0, 0
     for i, text in enumerate(texts):
-        data = (text.as_py() or "").encode()
+        data = (text.as_py() or "").lower().encode()
         if held and n + len(data) > SLICE:
             yield start, held
             held, n, start = [], 0, i
