@@ -112,7 +112,7 @@ def test_manifest_contract(spark):
     assert row["status"] == "success" and row["error"] is None
     assert row["data_path"] == (
         "source=web/operation=alquiler/property=departamento/bedrooms=3/"
-        "ingest_date=2026-07-13/listings_scheduled_20260713_b3.jsonl"
+        "ingest_date=2026-07-13/run=scheduled_20260713_b3"  # the folder write_landing makes
     )
     assert set(MANIFEST_SCHEMA.fieldNames()) <= set(row.asDict())
 
