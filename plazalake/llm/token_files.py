@@ -8,6 +8,7 @@ range's pages, or the metadata columns alone, can be read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Layout of the files: bytes of a row group, rows of a page, bytes of a dictionary.
 FILE_OPTIONS = {
-    "compression": "zstd",
+    "compression": "snappy",
     "parquet.block.size": 32 << 20,
     "parquet.page.size": 256 << 10,
     "parquet.page.row.count.limit": 1000,
@@ -32,9 +33,10 @@ FILE_OPTIONS = {
     "parquet.writer.version": "v2",
 }
 #: Words of a generation whose ids a worker keeps.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
 
 _STOPS = b".,"
+_BEYOND_LATIN = "\u0250"
 _END = np.int32(END_ID).tobytes()
 _encoders: dict[str, WordEncoder] = {}
 
@@ -50,9 +52,20 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
+        # A task has one core; the library's threads would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.most, self.young, self.old = Tokenizer.from_file(path), most, {}, {}
+        # The same vocabulary for words of Latin letters in lower case, which the normaliser
+        # leaves alone and the splitter takes as one piece.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text and the end id."""
@@ -95,14 +108,30 @@ class WordEncoder:
 
     def _encode(self, words: list[bytes], at_once: int = 20_000) -> None:
         for i in range(0, len(words), at_once):
-            some = [w.decode() for w in words[i : i + at_once]]
-            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            begins = np.cumsum([0, *(len(w) + 1 for w in some)])
-            places = np.fromiter((a for a, _ in made.offsets), np.int64, len(made.ids))
-            cuts = np.searchsorted(places, begins)
-            data = memoryview(np.array(made.ids, np.int32)).cast("B")
-            for word, a, b in zip(words[i : i + at_once], cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                self.young[word] = bytes(data[a * 4 : b * 4])
+            plain, rest = [], []
+            for word in words[i : i + at_once]:
+                (plain if word.isalpha() or _latin(word) else rest).append(word)
+            if plain:
+                (made,) = self.plain.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)
+                ids = np.array(made.ids, np.int32)
+                # Each of these words is one piece, whose last id alone marks its end.
+                self._keep(plain, ids, np.append(0, np.flatnonzero(self.ends[ids]) + 1))
+            if rest:
+                texts = [w.decode() for w in rest]
+                made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+                places = np.fromiter((a for a, _ in made.offsets), np.int64, len(made.ids))
+                begins = np.cumsum([0, *(len(w) + 1 for w in texts)])
+                self._keep(rest, np.array(made.ids, np.int32), np.searchsorted(places, begins))
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, cuts: np.ndarray) -> None:
+        data, cuts = ids.tobytes(), (cuts * 4).tolist()
+        self.young.update((w, data[a:b]) for w, a, b in zip(words, cuts[:-1], cuts[1:], strict=True))
+
+
+def _latin(word: bytes) -> bool:
+    """Whether a word with ASCII letters in lower case has nothing but Latin ones in lower case."""
+    text = word.decode()
+    return text.isalpha() and text.islower() and max(text) < _BEYOND_LATIN
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -116,8 +145,8 @@ def _encode(path: str):
         encode = _encoder(path)
         at = 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
                 ids = encode(part.column("text").to_pylist())
                 n = np.fromiter(map(len, ids), np.int64, len(ids))
                 ends = at + np.cumsum(n)
