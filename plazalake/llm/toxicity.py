@@ -48,7 +48,7 @@ ALIKE = 0.6
 PREDICT_FROM = 0.7
 COST = 1.0
 #: Letters that are scored at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 SENTENCE_END = re.compile(r"[.!?\n]+(?=\s|$)")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
