@@ -47,7 +47,8 @@ GRAM, LEAST_DOCUMENTS, LEAST_Z, TELLING = 5, 4, 5.5, 400
 ALIKE = 0.6
 PREDICT_FROM = 0.7
 COST = 1.0
-#: Letters that are scored at a time.
+#: Texts and letters that are scored at a time.
+ROWS = 256
 SLICE = 1 << 18
 
 SENTENCE_END = re.compile(r"[.!?\n]+(?=\s|$)")
@@ -419,8 +420,10 @@ def score(docs: DataFrame, model: Model, *keys: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table()
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            scores = model.probability(raw_scores(texts, table, model.bias))
+            scores = np.zeros(batch.num_rows)
+            for i in range(0, batch.num_rows, ROWS):
+                texts = [x or "" for x in batch.column("text").slice(i, ROWS).to_pylist()]
+                scores[i : i + ROWS] = model.probability(raw_scores(texts, table, model.bias))
             columns = [batch.column(k) for k in keys]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], [*keys, "score"])
 
