@@ -16,43 +16,29 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plazalake.llm import near_texts
 from plazalake.llm.common import empty_if_null, written
 from plazalake.llm.components import component_roots
+from plazalake.llm.near_texts import shingle_hashes, tokens_of
 
 SHINGLE_WORDS = 3
-SEED = 42
 BITS = 64
 SEGMENTS, SEGMENT_BITS = 8, 8
 DISTANCE = 3
 #: Members of a key group that one task compares with each other.
 TILE = 2048
 
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Bits of one batch of shingle hashes that are held unpacked at a time.
 _UNPACKED = 1 << 15
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     """64 majority bits of the hashes of a text's word shingles; 0 without words."""
-    tokens = (text or "").encode().translate(_LOWER).split()
-    if not tokens:
-        return 0
-    joined = b" ".join(tokens)
-    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    n = max(1, len(tokens) - words + 1)
-    last = ends[min(words, len(tokens)) - 1 :]
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
-        (digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)),
-        np.uint64,
-        n,
-    )
+    hashes = shingle_hashes(tokens_of(text), words)
+    n = len(hashes)
     ones = np.zeros(BITS, np.int64)
     for i in range(0, n, _UNPACKED):
         part = hashes[i : i + _UNPACKED].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -221,7 +207,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, columns unchanged, that have the smallest (doc_id, text hash)
-    of their group; of rows repeated in both exactly one.
+    of their group; of rows repeated in both exactly one. Groups are those of ``near_texts``.
 
     Null doc_ids come behind all others; null texts count as empty.
     """
@@ -233,7 +219,9 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
             "__sha": F.sha2(empty_if_null("text"), 256),
         }
     )
-    prints = written(fingerprints(rows, *identity), "fingerprints")
-    least = prints.groupBy("bits").agg(F.min(F.struct(*identity)).alias("least")).join(roots_of(prints), "bits")
+    sketched = written(near_texts.sketches(rows, *identity), "sketches")
+    roots = near_texts.roots_of(sketched, rows, *identity)
+    least = sketched.groupBy("copy").agg(F.min(F.struct(*identity)).alias("least")).join(roots, "copy", "left")
+    least = least.withColumn("root", F.coalesce("root", "copy"))
     kept = written(least.groupBy("root").agg(F.min("least").alias("kept")).select("kept.*"), "kept")
     return rows.join(kept, identity, "left_semi").dropDuplicates(identity).select(*docs.columns)

@@ -90,6 +90,31 @@ def test_one_of_each_group_keeps_columns(frame, clashing):
     assert simhash.one_of_each_group(clashing).columns == clashing.columns
 
 
+def shingles_of(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_one_of_each_group_is_that_of_five_words(frame):
+    """A tree of texts, each edited from an earlier one, against all pairs by their sets."""
+    r, texts = random.Random(11), [prose(n, 700 + n) for n in range(3, 160, 4)]
+    for i in range(260):
+        words = r.choice(texts).split()
+        for _ in range(1 + len(words) * r.randint(0, 10) // 300):
+            words[r.randrange(len(words))] = f"new{i}"
+        texts.append(" ".join(words))
+    sets = [shingles_of(t) for t in texts]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    parent = {i: i for i in range(len(texts))}
+    for i, j in sorted(pairs) * len(texts):
+        low = min(parent[i], parent[j])
+        if parent[i] == parent[j]:
+            continue
+        parent = {k: low if v in (parent[i], parent[j]) else v for k, v in parent.items()}
+    kept = {r["doc_id"] for r in simhash.one_of_each_group(frame(list(enumerate(texts)))).collect()}
+    assert kept == set(parent.values()) and len(pairs) > 60 and 20 < len(kept) < len(texts)
+
+
 def test_odd_rows_and_empty_tables(odd, frame):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == 8
