@@ -39,10 +39,9 @@ PIECE = 24
 FIT_DOCUMENTS = 8_000
 #: Most instances of each class, and landmarks of each class.
 POSITIVE, NEGATIVE, LANDMARKS = 1000, 4000, 40
-#: Telling are letter groups of GRAM, with marks for a word's ends, in so many toxic
-#: documents, with so large a root of the likelihood ratio (of millions of groups none
-#: gets there by chance); and so many at most.
-GRAM, LEAST_DOCUMENTS, LEAST_Z, TELLING = 5, 4, 5.5, 400
+#: Telling are letter groups of GRAM, with marks for a word's ends, that are more likely than
+#: LEAST_SURE not in toxic documents by chance; and so many at most.
+GRAM, LEAST_SURE, TELLING = 5, 0.75, 400
 #: Landmarks of one class are less alike than this.
 ALIKE = 0.6
 PREDICT_FROM = 0.7
@@ -275,7 +274,7 @@ def _spread(strings: list[str], most: int = LANDMARKS) -> list[str]:
     return chosen
 
 
-def _fit_machine(positive: dict[str, int], negative: dict[str, int]) -> Model:
+def _fit_machine(positive: dict[str, float], negative: dict[str, float]) -> Model:
     """Landmarks: positive strings unlike each other, and the negative ones most like them."""
     if not positive or not negative:
         return Model([], np.zeros(0), -1.0)
@@ -363,42 +362,77 @@ def _labelled_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             )
 
 
-def _telling(counts: DataFrame, totals: dict[int, int]) -> set[str]:
+def _sureness(cells: dict[tuple[int, int], int], share: float) -> dict[tuple[int, int], float]:
+    """For each (documents, toxic ones) of letter groups, the share of groups with as many
+    documents and at least as many toxic ones that chance doesn't explain.
+
+    ``cells`` counts the groups of each kind, ``share`` is that of toxic documents. The measure
+    scales with the labels: a few documents suffice where few groups get so far by chance.
+    """
+    most = max((n for n, _ in cells), default=0)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, most + 1)))])
+    groups: dict[int, dict[int, int]] = {}
+    for (n, bad), count in cells.items():
+        groups.setdefault(n, {})[bad] = count
+    sure = {}
+    for n, counts in groups.items():
+        total, seen = sum(counts.values()), 0
+        for bad in sorted(counts, reverse=True):
+            seen += counts[bad]
+            if 2 * bad <= n:
+                break
+            k = np.arange(bad, n + 1)
+            tail = np.exp(logs[n] - logs[k] - logs[n - k] + k * np.log(share) + (n - k) * np.log1p(-share)).sum()
+            sure[n, bad] = max(0.0, 1 - total * float(tail) / seen)
+    return sure
+
+
+def _telling(counts: DataFrame, totals: dict[int, int]) -> dict[str, float]:
     """The letter groups that tell most, by the signed root of the likelihood ratio of
-    their document counts."""
+    their document counts, each with its sureness."""
     bad, good = totals.get(1, 0), totals.get(0, 0)
-    share = bad / max(1, bad + good)
+    if not bad or not good:
+        return {}
+    share = bad / (bad + good)
+    cells = counts.groupBy((F.col("bad") + F.col("good")).alias("n"), "bad").count().collect()
+    sure = _sureness({(r["n"], r["bad"]): r["count"] for r in cells}, share)
+    rows = [(n, b, s) for (n, b), s in sure.items() if s >= LEAST_SURE]
 
     def part(hits: Column, of: float) -> Column:
         return F.when(hits > 0, hits * F.log(hits / ((F.col("bad") + F.col("good")) * of))).otherwise(0.0)
 
-    likely = counts.where((F.col("bad") >= LEAST_DOCUMENTS) & (F.col("bad") > F.col("good")))
+    passed = counts.sparkSession.createDataFrame(rows, "n long, bad long, sure double")
+    likely = counts.withColumn("n", F.col("bad") + F.col("good")).join(F.broadcast(passed), ["n", "bad"])
     ratio = part(F.col("bad"), share) + part(F.col("good"), 1 - share)
-    rows = likely.withColumn("z", F.sqrt(2 * F.greatest(ratio, F.lit(0.0)))).where(F.col("z") >= LEAST_Z)
-    return {r["string"] for r in rows.orderBy(F.desc("z"), "string").limit(TELLING).collect()}
+    found = likely.orderBy(F.desc(ratio), "string").limit(TELLING)
+    return {r["string"]: r["sure"] for r in found.collect()}
 
 
-def _with_telling(counts: DataFrame, telling: set[str], hits: str) -> dict[str, int]:
-    """The instances that hold a telling letter group, with their documents; the most frequent first."""
+def _with_telling(counts: DataFrame, telling: dict[str, float], hits: str) -> dict[str, float]:
+    """The instances that hold a telling letter group, with their documents times the surest
+    group's sureness; the highest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [not telling.isdisjoint(grams(x)) for x in batch.column("string").to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            strings = batch.column("string").to_pylist()
+            sure = np.array([max((telling.get(g, 0.0) for g in grams(x)), default=0.0) for x in strings], np.float64)
+            weights = batch.column(hits).to_numpy(zero_copy_only=False) * sure
+            made = pa.RecordBatch.from_arrays([batch.column("string"), pa.array(weights)], ["string", "weight"])
+            yield made.filter(pa.array(weights > 0))
 
-    rows = counts.select("string", hits)
-    found = rows.mapInArrow(run, rows.schema).orderBy(F.desc(hits), F.xxhash64("string"), "string")
-    return {r["string"]: r[hits] for r in found.limit(POSITIVE).collect()}
+    found = counts.select("string", hits).mapInArrow(run, "string string, weight double")
+    found = found.orderBy(F.desc("weight"), F.xxhash64("string"), "string")
+    return {r["string"]: r["weight"] for r in found.limit(POSITIVE).collect()}
 
 
-def _ordinary(counts: DataFrame, telling: set[str]) -> dict[str, int]:
+def _ordinary(counts: DataFrame, telling: dict[str, float]) -> dict[str, float]:
     """Instances of clean documents: the most frequent, some by hash, and those that hold a
     telling letter group."""
     good = counts.where("good > 0 AND bad <= good")
     frequent = good.orderBy(F.desc("good"), "string").limit(NEGATIVE // 2)
     spread = good.orderBy(F.xxhash64("string"), "string").limit(NEGATIVE // 2)
     rows = frequent.unionByName(spread).collect()
-    return {r["string"]: r["good"] for r in rows} | _with_telling(good, telling, "good")
+    return _with_telling(good, telling, "good") | {r["string"]: float(r["good"]) for r in rows}
 
 
 def _raw_scores(model: Model):

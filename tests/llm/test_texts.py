@@ -156,6 +156,24 @@ def test_toxicity_held_out(spark):
     assert min(gapped) > plain + 0.5
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_toxicity_of_few_labels(spark, size):
+    """Each held-out toxic document with one of the commoner insults is found, and no clean one."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{size}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit_on_labels(docs, labels)
+    rows = toxicity.score(docs.join(labels, "doc_id"), model, "doc_id", "toxic", "text")
+    rows = rows.where(toxicity.held_out(F.col("doc_id"))).collect()
+    told = [r["predicted"] for r in rows if r["toxic"] == 1 and {"moron", "scum", "loser", "disgusting"} & toxicity.instances(r["text"])]
+    assert len(told) > 1 and all(told)
+    assert not any(r["predicted"] for r in rows if r["toxic"] == 0)
+
+
+def test_sureness_scales_with_the_labels():
+    few = toxicity._sureness({(3, 3): 13, (3, 0): 1200, (5, 5): 4, (5, 0): 900}, 0.115)
+    assert few[3, 3] > 0.75 and few[5, 5] > 0.95
+    assert toxicity._sureness({(3, 3): 18, (3, 0): 5800}, 0.116)[3, 3] < 0.75
+
+
 def test_toxicity_of_odd_rows(odd, clashing, frame, spark):
     labels = spark.createDataFrame([(4, 1, 1), (5, 1, 0), (7, None, None)], "doc_id long, quality int, toxic int")
     rows = toxicity.classify(odd, labels).collect()
