@@ -23,10 +23,21 @@ from plazalake.llm.common import empty_if_null, written
 
 SPAN = 12
 LEAST_EQUAL = 10
-#: Fixed masks of SPAN positions and weight 7.
-MASKS = ("110101100101", "101110010011", "111001010110")
+#: Fixed masks of SPAN positions and weight 7: of any two positions some mask ignores both, so
+#: any stretch with LEAST_EQUAL equal tokens has a seed in common. No fewer masks do that.
+MASKS = (
+    "110110101100",
+    "001111100110",
+    "111100010101",
+    "101010111001",
+    "011100101011",
+    "000101011111",
+    "011011001101",
+    "110001110110",
+    "110111010010",
+)
 #: Bits of the Bloom filter, and of its probes for a hash.
-FILTER_BITS, PROBES = 1 << 22, 2
+FILTER_BITS, PROBES = 1 << 24, 3
 #: Bytes of texts that are hashed at a time.
 SLICE = 2 << 20
 
@@ -85,8 +96,9 @@ def seed_hashes(tokens: np.ndarray) -> np.ndarray:
     return out
 
 
-def probes(hashes: np.ndarray) -> list[np.ndarray]:
-    return [(hashes >> np.uint64(20 * i)) & np.uint64(FILTER_BITS - 1) for i in range(PROBES)]
+def probe(hashes: np.ndarray, i: int) -> np.ndarray:
+    """The filter bit of each hash's probe ``i``."""
+    return (hashes >> np.uint64(20 * i)) & np.uint64(FILTER_BITS - 1)
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
@@ -152,8 +164,9 @@ def bloom_filter(seeds: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS, np.uint8)
         for batch in batches:
-            for p in probes(batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)):
-                bits[p] = 1
+            seeds = batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
+            for i in range(PROBES):
+                bits[probe(seeds, i)] = 1
         words = np.packbits(bits).view(np.int64)
         used = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used])], ["word", "bits"])
@@ -174,10 +187,10 @@ def _document_hits(packed: bytes, keys: list[str]):
             for start, texts in _slices(batch.column("text")):
                 hashes, ends = token_hashes(texts)
                 seeds = seed_hashes(hashes)
-                passed = np.ones(seeds.shape, bool)
-                for p in probes(seeds):
-                    passed &= bits[p] == 1
-                mask, at = np.nonzero(passed)
+                mask, at = np.nonzero(bits[probe(seeds, 0)])
+                for i in range(1, PROBES):
+                    passed = bits[probe(seeds[mask, at], i)] == 1
+                    mask, at = mask[passed], at[passed]
                 owner = np.searchsorted(ends, at, side="right")
                 within = at + SPAN <= ends[owner] if len(at) else np.zeros(0, bool)
                 mask, at, owner = mask[within], at[within], owner[within]

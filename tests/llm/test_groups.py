@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -180,6 +181,28 @@ def test_benchmark_seeds(frame, spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in docs} - set(want)
 
 
+def test_benchmark_overlaps_with_any_two_changes(frame, spark):
+    """Every placement of two changed tokens in a stretch of 12, and three in 14, against all alignments."""
+    item = [f"w{i}" for i in range(40)]
+    docs = []
+    for size, changes in ((12, 2), (14, 3)):
+        for places in combinations(range(size), changes):
+            part = [f"new{i}" if i in places else item[9 + i] for i in range(size)]
+            docs.append((len(docs), " ".join([f"a{i}" for i in range(5)] + part + [f"b{i}" for i in range(5)])))
+
+    def most_equal(text):
+        a = text.split()
+        equal = {(i, j): a[i] == item[j] for i in range(len(a)) for j in range(len(item))}
+        return max(
+            sum(equal.get((i + k, i + k + d), False) for k in range(12)) for d in range(-30, 40) for i in range(len(a) - 11)
+        )
+
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"] for r in benchmark_seeds.contaminated(frame(docs), bench, "doc_id").collect()}
+    want = {i for i, t in docs if most_equal(t) >= 10}
+    assert got == want and len(want) > 66
+
+
 def test_benchmark_odd_rows(odd, clashing, frame, spark):
     bench = spark.createDataFrame([(1, "word " * 20), (None, "a b c d e f g h i j k l m")], "item_id long, text string")
     assert {r["doc_id"] for r in benchmark_seeds.contaminated(odd, bench, "doc_id").collect()} == {6}
