@@ -146,7 +146,7 @@ def _card(element: _Element, page_url: str) -> dict:
 
 def read_cards(html: str | None, page_url: str) -> list[dict]:
     """Cards of one page in document order."""
-    if not html or "data-qa" not in html:
+    if not html or "data-qa" not in html.lower():
         return []
     reader = _TreeReader()
     reader.feed(html)

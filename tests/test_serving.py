@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plazalake.functions.html_cards import read_cards
 from plazalake.operators import serving
+from plazalake.operators.cards import extract_cards
 from plazalake.sources import exports
 
 PAGE = """<html><body><div data-qa="posting PROPERTY" data-id="7" data-posting-type="PROPERTY"
@@ -117,3 +118,10 @@ def test_payloads(spark):
     assert sorted(map(str, document["rows"])) == sorted(map(str, lines))
     head = json.loads(exports.dashboard_header([1500, 2000], "2024-01-01", spark).first()[0])
     assert head["binLabels"] == ["Menos de S/ 1,500", "S/ 1,500 – 1,999", "S/ 2,000 o más"]
+
+
+def test_cards_of_pages_in_capitals(spark):
+    page = PAGE.replace("data-qa", "DATA-QA")
+    assert read_cards(page, "https://h/list?page=2") == read_cards(PAGE, "https://h/list?page=2")
+    pages = spark.createDataFrame([(page, "https://h/list?page=2")], "html string, url string")
+    assert extract_cards(pages).count() == 1
