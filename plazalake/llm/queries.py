@@ -14,13 +14,16 @@ from plazalake.llm import (
     chunk_recipes,
     fair_mix,
     pii,
+    prefix_trie,
     repeated_bytes,
     simhash,
+    source_divergence,
+    token_counts,
     token_files,
     toxicity,
 )
 from plazalake.llm.common import fresh_path, table, written
-from plazalake.llm.sql import CHAT_FORMAT, CHUNK_RECIPES, FAIR_MIX
+from plazalake.llm.sql import CHAT_FORMAT, CHUNK_RECIPES, FAIR_MIX, PREFIX_TRIE, SOURCE_DIVERGENCE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,4 +129,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query()
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@_query(PREFIX_TRIE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(written(turns, "turns")))
+
+
+@_query(SOURCE_DIVERGENCE)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
