@@ -203,6 +203,35 @@ def test_benchmark_overlaps_with_any_two_changes(frame, spark):
     assert got == want and len(want) > 66
 
 
+def test_short_and_unspaced_items(frame, spark):
+    """Items below SPAN tokens stand in a document whole; unspaced scripts have a token a character."""
+    chinese = "机器学习模型在很多任务上的表现已经超过了人类专家的水平"
+    items = [
+        (1, "what is the capital of the old kingdom"),
+        (2, chinese),
+        (3, "ภาษาไทย"),
+        (4, "only four tokens here"),
+        (5, "say \u201cyes\u201d\u2014or say nothing"),
+    ]
+    rest = prose(30, 77)
+    docs = [
+        (1, f"{rest} What is the capital of the OLD kingdom? {rest}"),
+        (2, f"{rest} what is the capital of the new kingdom {rest}"),
+        (3, f"前文{chinese}。后文"),
+        (4, f"前文{chinese[:5]}和{chinese[6:13]}后文"),
+        (5, f"{chinese[:9]}"),
+        (6, f"{rest} ภาษาไทยง่าย {rest}"),
+        (7, f"{rest} only four tokens here {rest}"),
+        (8, "say yes or say nothing"),
+        (9, "of the old kingdom"),
+        (10, "what is the capital of the old kingdom"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = benchmark_seeds.contaminated(frame(docs), bench, "doc_id").collect()
+    want = {(1, 1, 8), (10, 1, 8), (3, 2, 12), (4, 2, 11), (6, 3, 7), (8, 5, 5)}
+    assert {tuple(r) for r in got} == want
+
+
 def test_benchmark_odd_rows(odd, clashing, frame, spark):
     bench = spark.createDataFrame([(1, "word " * 20), (None, "a b c d e f g h i j k l m")], "item_id long, text string")
     assert {r["doc_id"] for r in benchmark_seeds.contaminated(odd, bench, "doc_id").collect()} == {6}
