@@ -26,6 +26,7 @@ class EngineConfig:
     listing_glob: str = "{listings_*.jsonl,part-*.json}"
     manifest_glob: str = "{manifest_*.json,part-*.txt}"
     max_files_per_batch: int = 1000  # a backlog is worked off in bounded micro-batches
+    key_buckets: int = 16  # of the index of stored keys; a bucket's keys should fit a task
 
     def __post_init__(self) -> None:
         if not self.namespace.strip():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -25,6 +26,20 @@ def previous_date(published: DataFrame, day: date, column: str = "ingest_date")
     return published.where(F.col(column) < F.lit(day)).agg(F.max(column)).first()[0]
 
 
+def resolve_day(requested: str | None, published: Collection[date]) -> date:
+    """SI1 where the published days are known, as from a listing of partitions."""
+    if requested and requested.strip():
+        return strict_date(requested)
+    if not published:
+        raise ValueError("nothing has been published yet")
+    return max(published)
+
+
+def day_before(published: Collection[date], day: date) -> date | None:
+    """CH1 where the published days are known."""
+    return max((d for d in published if d < day), default=None)
+
+
 def newest_dates(published: DataFrame, column: str = "ingest_date") -> tuple[date, date | None]:
     """SI1 and CH1 in one job: the newest published day and the one before it."""
     top = published.select(column).where(F.col(column).isNotNull()).distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -101,6 +102,33 @@ def advance_latest(latest: DataFrame, snapshot: DataFrame, day: date) -> DataFra
     return flat.select(*LATEST_COLUMNS)
 
 
+def repaired_latest(latest: DataFrame, snapshots: DataFrame, days: Sequence[date]) -> DataFrame:
+    """CH7-CH10 after ``days`` were published, republished or emptied since ``latest`` was made.
+
+    A listing whose life span has none of the days and which is on none of them now can't
+    have changed; only the others are recomputed from their history. The newest day decides
+    for all who is active. ``snapshots`` has every published day and no other.
+    """
+    chosen = [F.lit(d) for d in days]
+    spans = [F.col("first_seen_date").eqNullSafe(d) | ((F.col("first_seen_date") <= d) & (F.col("last_seen_date") >= d)) for d in chosen]
+    reached = F.lit(False)
+    for span in spans:
+        reached = reached | F.coalesce(span, F.lit(False))
+    state = latest.select(*LATEST_COLUMNS).withColumn("_reached", reached)
+    here = snapshots.where(F.col("ingest_date").isin(chosen)).select("listing_id")
+    touched = state.where("_reached").select("listing_id").unionByName(here).distinct()
+    recomputed = life_spans(snapshots.join(touched, "listing_id", "left_semi"))
+    kept = state.join(touched, "listing_id", "left_anti").select(
+        "listing_id",
+        F.struct(*[F.col(name) for name in STATE.values()]).alias("_state"),
+        "first_seen_date",
+        "last_seen_date",
+        "days_observed",
+    )
+    newest = snapshots.agg(F.max("ingest_date").alias("_newest"))
+    return _publish(kept.unionByName(recomputed), newest)
+
+
 def newer_only(latest: DataFrame, incoming: DataFrame, key: str, version: str) -> DataFrame:
     """DX12: replace a stored row only by a strictly newer one; insert unknown keys.
 

@@ -94,12 +94,13 @@ def gold_job(
     """CH1-CH10, AG1-AG6, ST2, ST3: changes and market of one day, state of all listings."""
     snapshots = spark.table(config.snapshot)
     runs = spark.table(config.ingestion_runs)
-    day = calendar.resolve_date(processing_date, snapshots)
-    if tables.on_day(spark, config.snapshot, day).isEmpty():
+    published = tables.partition_files(spark, config.snapshot)
+    day = calendar.resolve_day(processing_date, published)
+    if day not in published or tables.on_day(spark, config.snapshot, day).isEmpty():
         raise ValueError(f"no snapshot for {day}")
-    before = calendar.previous_date(snapshots, day)
+    before = calendar.day_before(published, day)
     complete = calendar.is_complete(runs, day)
-    state = carried_state(spark, config, day)
+    state = carried_state(spark, config, day, published)
     tables.replace_date(
         _stamp(changes.changes_for_day(snapshots, day, before, complete, state), "calculated_at"),
         config.listing_changes,
@@ -113,43 +114,81 @@ def gold_job(
         config.market_daily,
         day,
     )
-    publish_latest(spark, config, base, day)
+    publish_latest(spark, config, base, published)
     return day
 
 
-def carried_state(spark: SparkSession, config: EngineConfig, day: date) -> DataFrame | None:
-    """The stored state of all listings, if it is that of the day before ``day``, the newest one.
+def _ledger(config: EngineConfig) -> str:
+    return f"{config.listing_latest}_days"
 
-    None as well when an older day's files are newer than the state: it was reprocessed
-    since, so what the state says of it no longer holds.
+
+def _built_from(spark: SparkSession, config: EngineConfig) -> dict[date, str]:
+    """The days the stored state was built from, with their digests; empty if there is no state
+    or the ledger is another state's: then a run ended between the two writes."""
+    if not (spark.catalog.tableExists(config.listing_latest) and spark.catalog.tableExists(_ledger(config))):
+        return {}
+    place = tables.table_location(spark, config.listing_latest)
+    rows = spark.table(_ledger(config)).where(F.col("state_location") == place).collect()
+    return {r["ingest_date"]: r["files_digest"] for r in rows}
+
+
+def _differing(held: dict[date, str], published: dict[date, str]) -> list[date]:
+    """Days that were published, republished or emptied since."""
+    return sorted(d for d in held.keys() | published.keys() if held.get(d) != published.get(d))
+
+
+def carried_state(
+    spark: SparkSession, config: EngineConfig, day: date, published: dict[date, str]
+) -> DataFrame | None:
+    """The state of all listings before ``day``, the newest one, if the stored state is of then.
+
+    Days that changed since it was built are repaired in it. ``published`` has the digest of
+    each published day's files, as ``tables.partition_files`` gives them.
     """
-    if not spark.catalog.tableExists(config.listing_latest):
+    held = _built_from(spark, config)
+    before = {d: digest for d, digest in published.items() if d < day}
+    if not held or max(held) >= day or max(published) != day or not before:
         return None
     stored = spark.table(config.listing_latest)
-    held = stored.agg(F.max("last_seen_date").alias("newest"), F.max("updated_at").alias("made")).first()
-    snapshots = spark.table(config.snapshot)
-    if held["newest"] is None or held["newest"] != calendar.previous_date(snapshots, day):
-        return None
-    if day != calendar.resolve_date(None, snapshots):
-        return None
-    older = snapshots.where(F.col("ingest_date") < F.lit(day))
-    written = older.agg(F.max("_metadata.file_modification_time").alias("at")).first()["at"]
-    return stored if written <= held["made"] else None
+    changed = _differing(held, before)
+    if not changed:
+        return stored
+    snapshots = spark.table(config.snapshot).where(F.col("ingest_date") < F.lit(day))
+    return lifecycle.repaired_latest(stored, snapshots, changed)
 
 
-def publish_latest(spark: SparkSession, config: EngineConfig, base: str, day: date) -> None:
-    """CH7-CH10: carry the state forward when it still holds, else recompute.
+def publish_latest(spark: SparkSession, config: EngineConfig, base: str, published: dict[date, str]) -> None:
+    """CH7-CH10: carry the state forward by a new day, repair what changed days reach, or recompute.
 
-    The state covers all history, also when an older day is reprocessed.
+    The state covers all history, also when an older day is reprocessed or emptied. Its
+    ledger says of each day which files it was built from, and which version of the
+    state that is.
     """
     snapshots = spark.table(config.snapshot)
-    place = f"{base.rstrip('/')}/gold_listing_latest"
-    held = carried_state(spark, config, day)
-    if held is None:
+    held = _built_from(spark, config)
+    changed = _differing(held, published)
+    if not held:
         state = lifecycle.listing_latest(snapshots)
+    elif len(changed) == 1 and changed[0] > max(held):
+        stored = spark.table(config.listing_latest).drop("updated_at")
+        state = lifecycle.advance_latest(stored, snapshots, changed[0])
     else:
-        state = lifecycle.advance_latest(held.drop("updated_at"), snapshots, day)
-    tables.replace_all(_stamp(state, "updated_at"), config.listing_latest, place)
+        state = lifecycle.repaired_latest(spark.table(config.listing_latest), snapshots, changed)
+    _store_latest(spark, config, base, state, published)
+
+
+def _store_latest(
+    spark: SparkSession, config: EngineConfig, base: str, state: DataFrame, published: dict[date, str]
+) -> None:
+    base = base.rstrip("/")
+    tables.replace_all(_stamp(state, "updated_at"), config.listing_latest, f"{base}/gold_listing_latest")
+    place = tables.table_location(spark, config.listing_latest)
+    # A row per published day.
+    days = spark.createDataFrame(
+        [(d, digest, place) for d, digest in sorted(published.items())],
+        "ingest_date date, files_digest string, state_location string",
+    )
+    tables.replace_all(days.coalesce(1), _ledger(config), f"{base}/gold_listing_latest_days")
 
 
 def rebuild_from(spark: SparkSession, config: EngineConfig, base: str, first: date) -> None:
@@ -171,11 +210,8 @@ def rebuild_from(spark: SparkSession, config: EngineConfig, base: str, first: da
         stored = spark.table(table).where(late).select("ingest_date").distinct()
         for stale in {r[0] for r in stored.collect()} - published:
             tables.replace_date(spark.table(table).limit(0), table, stale)
-    tables.replace_all(
-        _stamp(lifecycle.listing_latest(snapshots), "updated_at"),
-        config.listing_latest,
-        f"{base.rstrip('/')}/gold_listing_latest",
-    )
+    state = lifecycle.listing_latest(snapshots)
+    _store_latest(spark, config, base, state, tables.partition_files(spark, config.snapshot))
 
 
 def validate_gold(spark: SparkSession, config: EngineConfig, day: date) -> DataFrame:

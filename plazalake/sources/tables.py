@@ -7,6 +7,7 @@ replacement, a full sync is a staged rewrite behind a location switch.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import time
 import uuid
@@ -16,12 +17,16 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, NullType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from plazalake.operators.dedup import require_unique, top_per_key
 from plazalake.operators.joins import lookup_join
+from plazalake.sources.key_index import BUCKETS, KeyIndex
+from plazalake.sources.widening import check_kept, fitted_frame, merged_type
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+#: Fixed value: the folder of rows without a partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -93,112 +98,63 @@ def insert_only(
     key: str,
     order: Sequence[Column],
     partition_by: Sequence[str] = (),
+    buckets: int = BUCKETS,
 ) -> int:
     """BR13: add the rows whose key is not stored yet; returns how many were added.
 
     Replaying a batch adds nothing, so a crash between append and checkpoint
-    is harmless. Of the stored rows only the key column is read.
+    is harmless. Stored keys come from the table's key index, the touched buckets alone.
     """
     if batch.isEmpty():
         return 0
     ensure_table(batch, table, partition_by)
-    stored = batch.sparkSession.table(table).select(key)
-    fresh = top_per_key(batch, [key], order).join(stored, key, "left_anti")
-    return _written(_balanced(_in_table_order(fresh, table), partition_by), table, overwrite=False)
-
+    index = KeyIndex(batch.sparkSession, table, key, buckets)
+    if not index.catch_up():
+        rows = _append(batch, table, key, order, partition_by)
+    else:
+        absent = index.absent(batch).withColumnRenamed(key, "_absent").persist()
+        try:
+            if absent.isEmpty():
+                return 0
+            new = batch.join(absent, F.col(key).eqNullSafe(F.col("_absent")), "left_semi")
+            rows = _append(new, table, key, order, partition_by)
+        finally:
+            absent.unpersist()
+    index.catch_up()
+    return rows
 
-#: Widenings that keep every value: from a type's name to those that hold it.
-WIDER = {
-    "tinyint": ("smallint", "int", "bigint", "double"),
-    "smallint": ("int", "bigint", "double"),
-    "int": ("bigint", "double"),
-    "bigint": ("double",),
-    "float": ("double",),
-    "date": ("timestamp",),
-}
 
-
-def merged_type(held: DataType, new: DataType, place: str = "") -> DataType:
-    """The type that takes the values of both: structs field by field by name.
-
-    Whole numbers become doubles when either side has fractions, as schema inference
-    itself does; any other pair of types would lose values and raises.
-    """
-    if held == new or isinstance(new, NullType):
-        return held
-    if isinstance(held, NullType):
-        return new
-    if isinstance(held, StructType) and isinstance(new, StructType):
-        fields = {f.name: f.dataType for f in held}
-        for f in new:
-            known = fields.get(f.name, f.dataType)
-            fields[f.name] = merged_type(known, f.dataType, f"{place}.{f.name}" if place else f.name)
-        return StructType([StructField(name, kind) for name, kind in fields.items()])
-    if isinstance(held, ArrayType) and isinstance(new, ArrayType):
-        return ArrayType(merged_type(held.elementType, new.elementType, f"{place}[]"))
-    if isinstance(held, MapType) and isinstance(new, MapType) and held.keyType == new.keyType:
-        return MapType(held.keyType, merged_type(held.valueType, new.valueType, f"{place}{{}}"))
-    names = held.simpleString(), new.simpleString()
-    for narrow, wide, kind in ((*names, new), (*names[::-1], held)):
-        if wide in WIDER.get(narrow, ()):
-            return kind
-    raise TypeError(f"{place or 'column'}: {names[0]} and {names[1]} have no common type")
-
-
-def fitted(value: Column, held: DataType, wanted: DataType) -> Column:
-    """``value`` of type ``held`` as ``wanted``, which holds all of it."""
-    if held == wanted:
-        return value
-    if isinstance(held, StructType) and isinstance(wanted, StructType):
-        known = {f.name: f.dataType for f in held}
-        fields = [
-            (fitted(value[f.name], known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in wanted
-        ]
-        return F.when(value.isNotNull(), F.struct(*fields))
-    if isinstance(held, ArrayType):
-        return F.transform(value, lambda x: fitted(x, held.elementType, wanted.elementType))
-    if isinstance(held, MapType):
-        return F.transform_values(value, lambda _, x: fitted(x, held.valueType, wanted.valueType))
-    return value.cast(wanted)
-
-
-def _fitted_frame(df: DataFrame, wanted: StructType) -> DataFrame:
-    known = {f.name: f.dataType for f in df.schema}
-    return df.select(
-        *(
-            (fitted(F.col(f"`{f.name}`"), known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in wanted
-        )
-    )
+def _append(df: DataFrame, table: str, key: str, order: Sequence[Column], partition_by: Sequence[str]) -> int:
+    fresh = _in_table_order(top_per_key(df, [key], order), table)
+    return _written(_balanced(fresh, partition_by), table, overwrite=False)
 
 
 def append_new_runs(df: DataFrame, table: str, run_column: str = "_run_id") -> int:
     """BR14/JN10/IO14: append runs the table does not hold.
 
-    New columns are added. New fields inside structs and wider number types rewrite the
-    table in a new folder; types without a common one raise before anything is written.
-    A NULL run never matches, so such rows are appended every time.
+    New columns are added; names that differ in case alone are one column, as in queries. New
+    fields inside structs and wider types rewrite the table in a new folder. Types
+    without a common one raise, and so do values a common type would change, before
+    anything is written. A NULL run never matches, so such rows are appended every time.
     """
     spark = df.sparkSession
     ensure_table(df, table)
     stored = spark.table(table)
-    wanted = merged_type(stored.schema, df.schema)
     fresh = lookup_join(df, stored.select(run_column).distinct(), [run_column], "left_anti")
+    wanted = merged_type(stored.schema, df.schema)
+    wanted = check_kept(wanted, stored, fresh)
     held = {f.name: f.dataType for f in stored.schema}
     if any(held.get(f.name, f.dataType) != f.dataType for f in wanted):
         seen = Observation()
-        counted = _fitted_frame(fresh, wanted).observe(seen, F.count(F.lit(1)).alias("rows"))
-        both = _fitted_frame(stored, wanted).unionByName(counted)
+        counted = fitted_frame(fresh, wanted).observe(seen, F.count(F.lit(1)).alias("rows"))
+        both = fitted_frame(stored, wanted).unionByName(counted)
         replace_all(both, table, f"{table_location(spark, table)}_versions")
         return seen.get["rows"]
     added = [f for f in wanted if f.name not in held]
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    return _written(_fitted_frame(fresh, spark.table(table).schema), table, overwrite=False)
+    return _written(fitted_frame(fresh, spark.table(table).schema), table, overwrite=False)
 
 
 def replace_date(
@@ -215,18 +171,33 @@ def replace_date(
     ordered = _in_table_order(df, table)
     rows = _written(_balanced(ordered, ()), table, overwrite=True)
     if rows == 0:
-        nothing = ", ".join(
-            f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-            for f in ordered.schema.fields
-            if f.name != column
-        )
-        df.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = DATE'{day.isoformat()}') "
-            f"SELECT {nothing} FROM range(0)"
-        )
+        _clear_partition(df.sparkSession, table, f"{column}={day.isoformat()}")
     return rows
 
 
+def _clear_partition(spark: SparkSession, table: str, folder: str) -> None:
+    """Remove a partition's files, so that a listing of the table shows the day is gone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_location(spark, table)}/{folder}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark.catalog.refreshTable(table)
+
+
+def partition_files(spark: SparkSession, table: str, column: str = "ingest_date") -> dict[date, str]:
+    """CH1/SI1: the days of a table partitioned by ``column``, with a digest of each one's files.
+
+    Known from the listing of files alone; no data is read. Files are never changed in place
+    and their names are unique, so an equal digest means equal rows.
+    """
+    spark.catalog.refreshTable(table)
+    found: dict[date, list[str]] = {}
+    for file in spark.table(table).inputFiles():
+        folder, name = file.rsplit("/", 1)
+        day = folder.rsplit(f"/{column}=", 1)[-1].split("/")[0]
+        if day != NO_VALUE:
+            found.setdefault(date.fromisoformat(day), []).append(name)
+    return {day: hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest() for day, names in found.items()}
+
+
 def replace_dates(df: DataFrame, table: str, column: str = "ingest_date") -> int:
     """ST2 for many days at once: every day present in ``df`` is replaced."""
     ensure_table(df, table, [column])

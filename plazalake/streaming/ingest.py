@@ -37,7 +37,7 @@ def manifests_stream(
     return bronze_manifests(_files(spark, path, glob, True, max_files))
 
 
-def _run_once(stream: DataFrame, table: str, key: str, checkpoint: str) -> None:
+def _run_once(stream: DataFrame, table: str, key: str, checkpoint: str, buckets: int) -> None:
     # Newest file first, then a hash of the record: the kept duplicate does not
     # depend on task timing.
     order = [
@@ -48,7 +48,7 @@ def _run_once(stream: DataFrame, table: str, key: str, checkpoint: str) -> None:
 
     def add(batch: DataFrame, batch_id: int) -> None:
         parsed = batch.persist()  # read twice below, parsed once
-        insert_only(parsed, table, key, order, ["_partition_ingest_date"])
+        insert_only(parsed, table, key, order, ["_partition_ingest_date"], buckets)
         parsed.unpersist()
 
     (
@@ -69,6 +69,7 @@ def ingest_listings(spark: SparkSession, config: EngineConfig) -> None:
         config.listings_raw,
         "_bronze_observation_key",
         config.checkpoint("listings"),
+        config.key_buckets,
     )
 
 
@@ -81,4 +82,5 @@ def ingest_manifests(spark: SparkSession, config: EngineConfig) -> None:
         config.ingestion_runs,
         "_bronze_manifest_key",
         config.checkpoint("manifests"),
+        config.key_buckets,
     )

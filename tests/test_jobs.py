@@ -151,6 +151,61 @@ def test_state_follows_a_reprocessed_day(spark, product):
     assert got == {"B": (D1, 2), "C": (D1, 2)}
 
 
+def spans_of(frame):
+    columns = ("listing_id", "first_seen_date", "last_seen_date", "days_observed", "is_active", "price_amount")
+    return sorted(tuple(r) for r in frame.select(*columns).collect())
+
+
+def test_state_follows_emptied_and_republished_days(spark, product, monkeypatch):
+    """Older days are emptied, published anew and added; the state equals a recomputation."""
+    config, raw, base = product
+    days = [date(2024, 1, d) for d in range(1, 8)]
+    land(raw, days[1], 1, [listing("r", "A", "S/ 1,000")], run="r")
+    jobs.bronze_job(spark, config)
+    jobs.silver_job(spark, config, str(days[1]))
+    row = spark.createDataFrame(spark.table(config.snapshot).collect(), spark.table(config.snapshot).schema)
+
+    def publish(day, ids):
+        made = [row.withColumns({"listing_id": F.lit(i), "ingest_date": F.lit(day), "price_amount": F.lit(p)}) for i, p in ids.items()]
+        frame = made[0] if made else row.limit(0)
+        for more in made[1:]:
+            frame = frame.unionByName(more)
+        tables.replace_date(frame.select(row.columns), config.snapshot, day, ["ingest_date", "listing_id"])
+
+    def run():
+        published = tables.partition_files(spark, config.snapshot)
+        jobs.publish_latest(spark, config, base, published)
+        whole = jobs.lifecycle.listing_latest(spark.table(config.snapshot))
+        assert spans_of(spark.table(config.listing_latest)) == spans_of(whole)
+
+    publish(days[1], {"A": 1.0, "B": 2.0, "C": 3.0})
+    publish(days[2], {"A": 1.0, "C": 3.0})
+    publish(days[3], {"A": 5.0, "D": 4.0})
+    run()
+    whole = jobs.lifecycle.listing_latest
+    monkeypatch.setattr(jobs.lifecycle, "listing_latest", lambda _: pytest.fail("history was read"))
+    monkeypatch.setattr(jobs.lifecycle, "repaired_latest", lambda *_: pytest.fail("nothing had changed"))
+    publish(days[4], {"A": 5.0, "E": 1.0})
+    jobs.publish_latest(spark, config, base, tables.partition_files(spark, config.snapshot))
+    monkeypatch.undo()
+    assert spans_of(spark.table(config.listing_latest)) == spans_of(whole(spark.table(config.snapshot)))
+    publish(days[1], {})  # emptied: B is gone, A and C were seen later
+    publish(days[5], {"A": 6.0, "F": 1.0})
+    before = jobs.carried_state(spark, config, days[5], tables.partition_files(spark, config.snapshot))
+    assert spans_of(before) == spans_of(whole(spark.table(config.snapshot).where(F.col("ingest_date") < F.lit(days[5]))))
+    run()
+    publish(days[2], {"B": 9.0, "C": 8.0})  # republished
+    publish(days[0], {"G": 1.0, "A": 1.0})  # older than all
+    run()
+    publish(days[5], {})  # the newest day is emptied
+    run()
+    # A state without its ledger, as a run leaves it that ends between the two, isn't trusted.
+    tables.replace_all(spark.table(config.listing_latest).where("listing_id = 'A'"), config.listing_latest, f"{base}/other")
+    publish(days[6], {"A": 1.0})
+    assert jobs.carried_state(spark, config, days[6], tables.partition_files(spark, config.snapshot)) is None
+    run()
+
+
 def test_full_refresh(spark, product):
     config, raw, base = product
     land(raw, D1, 1, [listing("r1", "a", "S/ 2,750.50"), listing("r1", "b", "US$ 10")], run="r1")

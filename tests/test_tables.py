@@ -1,10 +1,12 @@
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from plazalake.schemas import LISTING_SCHEMA, MANIFEST_SCHEMA
 from plazalake.sources import landed, tables
+from plazalake.sources.key_index import KeyIndex
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
 
@@ -28,6 +30,44 @@ def test_insert_only_adds_each_key_once(spark, database):
     assert rows_of(spark, table, "key", "v") == [("a", 2), ("b", 1), ("c", 5), ("n", 1)]
 
 
+def test_insert_only_reads_touched_buckets_and_shuffles_no_stored_key(spark, database):
+    table, order = f"{database}.raw", [F.col("v").desc()]
+    rows = spark.range(500).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("v"))
+    assert tables.insert_only(rows, table, "key", order, buckets=8) == 500
+    index = KeyIndex(spark, table, "key")
+    assert index.buckets == 8
+    few = spark.createDataFrame([("k7", 1), ("new", 2)], "key string, v long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        absent = index.absent(few)
+        plan = absent._jdf.queryExecution().executedPlan().toString()
+        assert [r["key"] for r in absent.collect()] == ["new"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    stored = plan[plan.rindex("FileScan") :]
+    assert "Bucketed: true" in stored and "bucket" in stored.split("PartitionFilters")[1].split("]")[0]
+    # Above the stored side's scan stand a filter and a sort, no exchange.
+    right = plan[: plan.rindex("FileScan")].splitlines()[-4:]
+    assert not any("Exchange" in line for line in right), plan
+    assert tables.insert_only(few, table, "key", order) == 1
+    assert spark.table(index.name).count() == 501
+
+
+def test_insert_only_indexes_what_an_ended_run_left(spark, database):
+    """Rows that were stored without their keys are known to the next insert."""
+    table, order = f"{database}.raw", [F.col("v").desc()]
+    schema = "key string, v int, day date"
+    first = spark.createDataFrame([("a", 1, D1), ("b", 1, D2)], schema)
+    tables.ensure_table(first, table, ["day"])
+    first.write.insertInto(table)
+    again = spark.createDataFrame([("a", 5, D2), ("b", 5, D1), ("c", 5, None), (None, 5, D1)], schema)
+    assert tables.insert_only(again, table, "key", order, ["day"]) == 2
+    assert tables.insert_only(again.where("key IS NOT NULL"), table, "key", order, ["day"]) == 0
+    got = {(r["key"], r["v"]) for r in spark.table(table).collect()}
+    assert got == {("a", 1), ("b", 1), ("c", 5), (None, 5)}
+
+
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
 def test_replace_date_swaps_only_that_day(spark, database, mode):
     spark.conf.set(tables.OVERWRITE_MODE, mode)
@@ -71,6 +111,72 @@ def test_append_new_runs_widens_and_refuses(spark, database):
     assert spark.table(table).count() == 3
 
 
+def appended(spark, table, *frames):
+    for run, (values, kind) in enumerate(frames):
+        rows = [(f"r{run}-{i}", v) for i, v in enumerate(values)]
+        tables.append_new_runs(spark.createDataFrame(rows, f"_run_id string, v {kind}"), table)
+    field = spark.table(table).schema["v"].dataType.simpleString()
+    return field, [r["v"] for r in spark.table(table).orderBy("_run_id").collect()]
+
+
+BIG = 2**53 + 1
+
+
+@pytest.mark.parametrize(
+    ("frames", "kind", "values"),
+    [
+        ([([BIG], "bigint"), ([1.5], "double")], "decimal(38,18)", [Decimal(BIG), Decimal("1.5")]),
+        ([([1.5], "double"), ([BIG], "bigint")], "decimal(38,18)", [Decimal("1.5"), Decimal(BIG)]),
+        ([([7], "bigint"), ([1e300], "double")], "double", [7.0, 1e300]),
+        ([([7], "int"), ([Decimal("1.25")], "decimal(4,2)")], "decimal(12,2)", [Decimal(7), Decimal("1.25")]),
+        ([([Decimal("1.25")], "decimal(4,2)"), ([7], "bigint")], "decimal(21,2)", [Decimal("1.25"), Decimal(7)]),
+        ([([Decimal("1.25")], "decimal(4,2)"), ([Decimal("123.4")], "decimal(4,1)")], "decimal(5,2)", [Decimal("1.25"), Decimal("123.4")]),
+        ([([0.5], "float"), ([Decimal("1.25")], "decimal(4,2)")], "decimal(38,18)", [Decimal("0.5"), Decimal("1.25")]),
+        ([([1], "tinyint"), ([300], "smallint"), ([None], "bigint")], "bigint", [1, 300, None]),
+        ([([[1, None]], "array<bigint>"), ([[0.5]], "array<double>")], "array<double>", [[1.0, None], [0.5]]),
+        ([([[BIG]], "array<bigint>"), ([[0.5], None], "array<double>")], "array<decimal(38,18)>", [[Decimal(BIG)], [Decimal("0.5")], None]),
+        ([([(BIG,)], "struct<x:bigint>"), ([(0.5,)], "struct<X:double>")], "struct<x:decimal(38,18)>", [(Decimal(BIG),), (Decimal("0.5"),)]),
+        ([([{"k": BIG}], "map<string,bigint>"), ([{"k": 0.5}], "map<string,double>")], "map<string,decimal(38,18)>", [{"k": Decimal(BIG)}, {"k": Decimal("0.5")}]),
+    ],
+)
+def test_widening_keeps_every_value(spark, database, frames, kind, values):
+    assert appended(spark, f"{database}.t", *frames) == (kind, values)
+
+
+@pytest.mark.parametrize(
+    "frames",
+    [
+        [([BIG], "bigint"), ([1e300], "double")],
+        [([[BIG]], "array<bigint>"), ([[1e300]], "array<double>")],
+        [([Decimal("0." + "1" * 38)], "decimal(38,38)"), ([10**15], "bigint")],
+    ],
+)
+def test_widening_that_would_change_a_value_raises(spark, database, frames):
+    with pytest.raises(ValueError, match="change a value"):
+        appended(spark, f"{database}.t", *frames)
+    assert spark.table(f"{database}.t").count() == 1
+
+
+def test_names_that_differ_in_case_are_one_column(spark, database):
+    table = f"{database}.t"
+    tables.append_new_runs(spark.createDataFrame([("r1", 1)], "_run_id string, x int"), table)
+    tables.append_new_runs(spark.createDataFrame([("r2", 2, "n")], "_run_id string, X int, Y string"), table)
+    assert spark.table(table).columns == ["_run_id", "x", "Y"]
+    assert rows_of(spark, table, "x") == [(1,), (2,)]
+
+
+def test_days_of_a_listing(spark, database):
+    table, schema = f"{database}.snap", "k string, ingest_date date"
+    tables.replace_dates(spark.createDataFrame([("a", D1), ("b", D2), ("c", None)], schema), table)
+    first = tables.partition_files(spark, table)
+    assert sorted(first) == [D1, D2]
+    tables.replace_date(spark.createDataFrame([("a", D1)], schema), table, D1)
+    second = tables.partition_files(spark, table)
+    assert second[D1] != first[D1] and second[D2] == first[D2]
+    tables.replace_date(spark.createDataFrame([], schema), table, D1)
+    assert tables.partition_files(spark, table) == {D2: first[D2]}
+
+
 def test_append_new_runs_evolves_schema(spark, database):
     table = f"{database}.full"
     first = spark.createDataFrame([("r1", 1), (None, 2)], "_run_id string, a int")
