@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -23,6 +22,7 @@ TEXT_MARKS = {
     "description": "POSTING_CARD_DESCRIPTION",
     "publisher": "POSTING_CARD_PUBLISHER",
 }
+_MARKED = re.compile("data-qa", re.IGNORECASE)
 AMENITY_CLASS = "pill-item-feature"
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
@@ -53,106 +53,155 @@ for _block in (
 
 
 class _Element:
-    __slots__ = ("attrs", "before", "children", "last", "tag")
-
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
-        self.before: _Element | None = None  # previous sibling element
-        self.last: _Element | None = None  # last child element
-
-    def add(self, child: _Element) -> None:
-        child.before, self.last = self.last, child
-        self.children.append(child)
-
-    def walk(self) -> Iterator[_Element]:
-        """Descendant elements in document order, without recursion."""
-        stack = [c for c in reversed(self.children) if isinstance(c, _Element)]
-        while stack:
-            element = stack.pop()
-            yield element
-            stack.extend(c for c in reversed(element.children) if isinstance(c, _Element))
-
-    def text(self) -> str | None:
-        """Whitespace-collapsed text, None when blank."""
-        pieces, stack = [], [self]
-        while stack:
-            node = stack.pop()
-            if isinstance(node, str):
-                pieces.append(node)
-            else:
-                stack.extend(reversed(node.children))
-        return re.sub(r"\s+", " ", "".join(pieces)).strip() or None
-
-
-class _TreeReader(HTMLParser):
+    """An element's place: the stretch of the page's pieces of text that it spans."""
+
+    __slots__ = ("card", "end", "last", "start", "tag", "words")
+
+    def __init__(self, tag: str, start: int):
+        self.tag, self.start = tag, start
+        self.end: int | None = None  # None while open
+        self.last: _Element | None = None  # last child element so far
+        self.card: _Card | None = None
+        self.words: str | None = ""
+
+    def text(self, pieces: list[str]) -> str | None:
+        """Whitespace-collapsed text, None when blank; put together once."""
+        if self.words == "":
+            inside = "".join(pieces[self.start : self.end])
+            self.words = re.sub(r"\s+", " ", inside).strip() or None
+        return self.words
+
+
+class _Card:
+    """A card and what the reader has met inside so far."""
+
+    __slots__ = ("attrs", "first_pill", "image", "last_pill", "marked", "street")
+
+    def __init__(self, attrs: dict[str, str], first_pill: int):
+        self.attrs, self.first_pill = attrs, first_pill
+        self.last_pill: int | None = None
+        self.marked: dict[str, _Element] = {}
+        self.street: _Element | None = None
+        self.image: str | None = None
+
+
+class _CardReader(HTMLParser):
+    """Reads cards in one pass, without a tree.
+
+    Open cards are ancestors of whatever comes next. For each mark the open cards that haven't
+    met it wait on a stack; the next such element serves them all, and a card that ends
+    leaves from the top. So work grows with elements and cards, however deep they nest.
+    """
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = _Element("", {})
-        self._open = [self.root]
+        self.cards: list[_Card] = []
+        self.pieces: list[str] = []
+        self.pills: list[_Element] = []
+        self._open = [_Element("", 0)]
+        self._count: dict[str, int] = {}
+        self._waiting: dict[str, list[_Card]] = {mark: [] for mark in (*TEXT_MARKS.values(), "img")}
+
+    def _close(self, depth: int) -> None:
+        """End the open elements from ``depth`` on, innermost first."""
+        while len(self._open) > depth:
+            element = self._open.pop()
+            self._count[element.tag] -= 1
+            self._end(element)
+
+    def _end(self, element: _Element) -> None:
+        element.end = len(self.pieces)
+        if element.card:
+            element.card.last_pill = len(self.pills)
+            for waiting in self._waiting.values():
+                if waiting and waiting[-1] is element.card:
+                    waiting.pop()
 
     def _imply(self, tag: str) -> None:
         """Close what the start of ``tag`` ends without an end tag of its own."""
         ended, within = IMPLIED_ENDS.get(tag, ((), ()))
+        if not any(self._count.get(t) for t in ended):
+            return
         for depth in range(len(self._open) - 1, 0, -1):
             if self._open[depth].tag in within:
                 return
             if self._open[depth].tag in ended:
-                del self._open[depth:]
+                self._close(depth)
                 return
 
+    def _add(self, tag: str, attrs: list[tuple[str, str | None]]) -> _Element:
+        parent, element = self._open[-1], _Element(tag, len(self.pieces))
+        given = {name: value or "" for name, value in attrs}
+        mark = given.get("data-qa", "")
+        if mark in self._waiting and mark != "img":
+            for card in self._waiting[mark]:
+                card.marked[mark] = element
+                if mark == TEXT_MARKS["location"]:
+                    card.street = parent.last
+            self._waiting[mark].clear()
+        if tag == "img":
+            for card in self._waiting["img"]:
+                card.image = given.get("src", "")
+            self._waiting["img"].clear()
+        if AMENITY_CLASS in given.get("class", ""):
+            self.pills.append(element)
+        if mark.startswith(CARD_MARK) and "data-id" in given:
+            element.card = _Card(given, len(self.pills))
+            self.cards.append(element.card)
+            for waiting in self._waiting.values():
+                waiting.append(element.card)
+        parent.last = element
+        return element
+
     def handle_starttag(self, tag, attrs):
         self._imply(tag)
-        element = _Element(tag, {name: value or "" for name, value in attrs})
-        self._open[-1].add(element)
-        if tag not in VOID_TAGS:
+        element = self._add(tag, attrs)
+        if tag in VOID_TAGS:
+            self._end(element)
+        else:
             self._open.append(element)
+            self._count[tag] = self._count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
-        self._open[-1].add(_Element(tag, {n: v or "" for n, v in attrs}))
+        self._end(self._add(tag, attrs))
 
     def handle_endtag(self, tag):
+        if not self._count.get(tag):
+            return
         for depth in range(len(self._open) - 1, 0, -1):
             if self._open[depth].tag == tag:
-                del self._open[depth:]
+                self._close(depth)
                 return
 
     def handle_data(self, data):
-        self._open[-1].children.append(data)
+        self.pieces.append(data)
 
+    def close(self):
+        super().close()
+        self._close(1)
 
-def _card(element: _Element, page_url: str) -> dict:
-    inside = list(element.walk())
-    marked: dict[str, _Element] = {}
-    for e in inside:
-        marked.setdefault(e.attrs.get("data-qa", ""), e)
-    card = {
-        field: marked[mark].text() if mark in marked else None
-        for field, mark in TEXT_MARKS.items()
-    }
-    place = marked.get(TEXT_MARKS["location"])
-    street = place.before.text() if place and place.before else None
-    pills = [e.text() for e in inside if AMENITY_CLASS in e.attrs.get("class", "")]
-    image = next((e for e in inside if e.tag == "img"), None)
+
+def _record(card: _Card, reader: _CardReader, page_url: str) -> dict:
+    def text(element: _Element | None) -> str | None:
+        return element.text(reader.pieces) if element else None
+
+    pills = [text(e) for e in reader.pills[card.first_pill : card.last_pill]]
     return {
-        **card,
-        "id": element.attrs["data-id"],
-        "posting_type": element.attrs.get("data-posting-type"),
-        "url": element.attrs.get("data-to-posting"),
-        "street": street,
+        **{field: text(card.marked.get(mark)) for field, mark in TEXT_MARKS.items()},
+        "id": card.attrs["data-id"],
+        "posting_type": card.attrs.get("data-posting-type"),
+        "url": card.attrs.get("data-to-posting"),
+        "street": text(card.street),
         "amenities": [p for p in pills if p],
-        "image": urljoin(page_url, image.attrs.get("src", "")) if image else None,
+        "image": None if card.image is None else urljoin(page_url, card.image),
     }
 
 
 def read_cards(html: str | None, page_url: str) -> list[dict]:
     """Cards of one page in document order."""
-    if not html or "data-qa" not in html.lower():
+    if not html or not _MARKED.search(html):
         return []
-    reader = _TreeReader()
+    reader = _CardReader()
     reader.feed(html)
     reader.close()
-    return [
-        _card(e, page_url)
-        for e in reader.root.walk()
-        if e.attrs.get("data-qa", "").startswith(CARD_MARK) and "data-id" in e.attrs
-    ]
+    return [_record(card, reader, page_url) for card in reader.cards]

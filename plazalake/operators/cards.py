@@ -41,7 +41,7 @@ def extract_cards(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
             yield out
 
     # Pages without a mark have no card; they never leave the JVM.
-    marked = pages.where(F.lower(html).contains("data-qa"))
+    marked = pages.where(F.col(html).rlike("(?i)data-qa"))
     return marked.mapInPandas(per_batch, schema)
 
 

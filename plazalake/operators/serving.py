@@ -118,6 +118,29 @@ def roll_up(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def dashboard_roll_ups(rows: DataFrame) -> DataFrame:
+    """AG10/IO22: districts (``by_bedrooms`` false) and districts by bedrooms from one pass.
+
+    Grouping sets share the scan and the shuffle; change counts are shown by bedrooms alone.
+    """
+    key, bedrooms = F.col("district_key"), F.col("bedrooms")
+    finer = F.grouping(bedrooms) == 0
+    counts = [
+        F.when(finer, F.sum(F.col(c).cast("bigint"))).alias(c)
+        for c in ("new_listing_count", "removed_listing_count", "price_changed_count")
+    ]
+    return rows.groupingSets([[key], [key, bedrooms]], key, bedrooms).agg(
+        finer.alias("by_bedrooms"),
+        F.min("district").alias("district"),
+        F.sum("listing_count").alias("listing_count"),
+        *[
+            weighted_mean(F.col(source), F.col("listing_count")).alias(name)
+            for name, source in WEIGHTED_METRICS.items()
+        ],
+        *counts,
+    )
+
+
 def find_column(columns: Sequence[str], candidates: Sequence[str]) -> str | None:
     """SV8: first candidate present, ignoring case, accents and underscores."""
     known = {column_key(c): c for c in columns}

@@ -77,6 +77,17 @@ def checksum(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def portable_checksum(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """DX7: the same for columns whose text is alike in any engine, so that another can repeat it.
+
+    The sum of the first 60 bits of MD5 over each row's values, NULL as empty, joined by
+    a bar; rows count as often as they occur.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    bits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum(bits).cast("string").alias("checksum"))
+
+
 def rent_premium(by_bedroom: DataFrame) -> DataFrame:
     """DX8: rent of one more bedroom in the same district (at most four rows each)."""
     ladder = Window.partitionBy("district_key").orderBy("bedrooms")

@@ -53,10 +53,16 @@ def silver_job(spark: SparkSession, config: EngineConfig, processing_date: str |
             _stamp(snapshot, "updated_at"), config.snapshot, day, keys=["ingest_date", "listing_id"]
         )
         tables.replace_date(
-            _stamp(quality.quarantine(judged), "quarantined_at"), config.quarantine, day
+            _stamp(quality.quarantine(judged), "quarantined_at"),
+            config.quarantine,
+            day,
+            keys=["ingest_date", "source_observation_key", "rule_id"],
         )
         tables.replace_date(
-            _stamp(quality.quality_results(judged), "calculated_at"), config.quality_results, day
+            _stamp(quality.quality_results(judged), "calculated_at"),
+            config.quality_results,
+            day,
+            keys=["ingest_date", "run_id", "rule_id"],
         )
     finally:
         judged.unpersist()
@@ -113,6 +119,7 @@ def gold_job(
         _stamp(market.market_for_day(snapshots, rows, day, before), "calculated_at"),
         config.market_daily,
         day,
+        keys=["ingest_date", "district", "bedrooms", "currency"],
     )
     publish_latest(spark, config, base, published)
     return day
@@ -181,7 +188,7 @@ def _store_latest(
     spark: SparkSession, config: EngineConfig, base: str, state: DataFrame, published: dict[date, str]
 ) -> None:
     base = base.rstrip("/")
-    tables.replace_all(_stamp(state, "updated_at"), config.listing_latest, f"{base}/gold_listing_latest")
+    tables.replace_all(_stamp(state, "updated_at"), config.listing_latest, f"{base}/gold_listing_latest", ["listing_id"])
     place = tables.table_location(spark, config.listing_latest)
     # A row per published day.
     days = spark.createDataFrame(

@@ -195,6 +195,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY ingest_date
 GROUP BY listing_id"""
 
 
+# The snapshot after its oldest day was emptied and the second republished without one-bedroom listings.
+CTES["snap_changed"] = """
+SELECT * FROM snap WHERE ingest_date <> (SELECT MIN(ingest_date) FROM snap)
+  AND NOT (bedrooms_min = 1 AND ingest_date = (SELECT MIN(ingest_date) FROM snap
+    WHERE ingest_date > (SELECT MIN(ingest_date) FROM snap)))"""
+CTES["latest_changed"] = re.sub(r"\bsnap\b", "snap_changed", CTES["latest"])
+
+
 def with_ctes(statement: str) -> str:
     """Prepend the shared sub-queries the statement refers to, directly or not."""
     needed: set[str] = set()

@@ -345,6 +345,34 @@ def serving_payload_document(spark, sf_dir):
     return exports.payload_document(rows, columns, ["district", "bedrooms"], day)
 
 
+_METRICS_JSON = """',"district":"' || district || '","listing_count":' || listing_count
+      || ',"avg_rent_pen":' || round(avg_rent_pen, 6) || ',"median_price":' || round(median_price, 6)
+      || ',"avg_area_m2":' || round(avg_area_m2, 6) || ',"median_price_m2":' || round(median_price_m2, 6)"""
+
+
+@query(
+    f"""SELECT 0 AS section, NULL AS district_key, NULL AS bedrooms, '{{"scrapeDate":"'
+      || CAST((SELECT MAX(ingest_date) FROM snap) AS VARCHAR)
+      || '","bins":[1500.0,2000.0,2500.0,3000.0,4000.0],"binLabels":["Menos de S/ 1,500",'
+      || '"S/ 1,500 – 1,999","S/ 2,000 – 2,499","S/ 2,500 – 2,999","S/ 3,000 – 3,999","S/ 4,000 o más"],"market":[' AS value
+    UNION ALL SELECT 1, district_key, NULL, '{{"district_key":"' || district_key || '"' || {_METRICS_JSON} || '}}'
+      || CASE WHEN row_number() OVER (ORDER BY district_key DESC) = 1 THEN '' ELSE ',' END FROM mapped
+    UNION ALL SELECT 2, NULL, NULL, '],"bedroomMarket":['
+    UNION ALL SELECT 3, district_key, bedrooms, '{{"district_key":"' || district_key || '","bedrooms":' || bedrooms
+      || {_METRICS_JSON} || ',"new_listing_count":' || coalesce(CAST(new_listing_count AS VARCHAR), 'null')
+      || ',"removed_listing_count":' || coalesce(CAST(removed_listing_count AS VARCHAR), 'null')
+      || ',"price_changed_count":' || coalesce(CAST(price_changed_count AS VARCHAR), 'null') || '}}'
+      || CASE WHEN row_number() OVER (ORDER BY district_key DESC, bedrooms DESC) = 1 THEN '' ELSE ',' END
+    FROM rolled_bed WHERE district_key IN (SELECT district_key FROM official)
+    UNION ALL SELECT 4, NULL, NULL, ']}}'"""
+)
+def serving_dashboard_document(spark, sf_dir):
+    """IO22: the dashboard's document; both roll-ups by grouping sets from one pass."""
+    day = serving.single_date(exported(spark, sf_dir))
+    rolled = serving.dashboard_roll_ups(matrix_rows(spark, sf_dir))
+    return exports.dashboard_document(rolled, serving.RENT_BOUNDS, day)
+
+
 @query(
     r"""SELECT doc_id, upper(trim(regexp_replace(replace(strip_accents(text), 'ß', 'ss'), '\s+', ' ', 'g')))
       AS text_key

@@ -87,6 +87,18 @@ def slo_manifest_reconciliation(spark, sf_dir):
     return slo.reconcile(manifests(spark, sf_dir), observations(spark, sf_dir))
 
 
+@query(
+    """SELECT ingest_date, COUNT(*) AS rows, CAST(SUM(CAST('0x' || substr(md5(concat_ws('|',
+      COALESCE(CAST(listing_id AS VARCHAR), ''), COALESCE(run_id, ''), COALESCE(district, ''),
+      COALESCE(CAST(bedrooms_min AS VARCHAR), ''))), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum
+    FROM snap GROUP BY ingest_date"""
+)
+def slo_portable_checksum(spark, sf_dir):
+    """DX7: a hash per day that another engine computes as well."""
+    columns = ["listing_id", "run_id", "district", "bedrooms_min"]
+    return slo.portable_checksum(snapshot_table(spark, sf_dir), columns, ["ingest_date"])
+
+
 @query("SELECT ingest_date, COUNT(*) AS rows, TRUE AS same FROM snap GROUP BY ingest_date")
 def slo_rerun_checksum(spark, sf_dir):
     """DX7: the snapshot built twice has the same rows and hashes per day."""

@@ -122,6 +122,74 @@ def table_append_widening(spark, sf_dir):
     return spark.table(target).select("o_orderkey", "amount", F.col("detail.priority").alias("priority"))
 
 
+@query(
+    """SELECT o_orderkey, CAST(CASE WHEN o_orderdate < TIMESTAMP '1996-01-01'
+        THEN CAST(o_orderkey + 9007199254740993 AS DECIMAL(38, 18))
+        ELSE CAST(o_orderkey % 3 AS DECIMAL(37, 18)) + 0.5 END AS VARCHAR) AS amount,
+      CAST(CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN o_custkey ELSE o_custkey / 4 END
+        AS DECIMAL(14, 2)) AS share
+    FROM orders"""
+)
+def table_append_exact(spark, sf_dir):
+    """IO14: 64-bit numbers beyond a double's beside fractions, whole numbers beside decimals."""
+    name, _ = _database(spark)
+    rows = table(spark, sf_dir, "orders")
+    early = rows.where("o_orderdate < timestamp_ntz'1996-01-01 00:00:00'").selectExpr(
+        "o_orderkey", "CAST(o_orderkey + 9007199254740993 AS bigint) AS amount", "CAST(o_custkey AS int) AS share",
+        "cast(o_orderdate AS string) AS run",
+    )
+    late = rows.where("o_orderdate >= timestamp_ntz'1996-01-01 00:00:00'").selectExpr(
+        "o_orderkey", "CAST(o_orderkey % 3 AS double) + 0.5D AS AMOUNT", "CAST(o_custkey / 4 AS decimal(12,2)) AS share",
+        "cast(o_orderdate AS string) AS run",
+    )
+    target = f"{name}.orders"
+    for batch in (early, late, late):
+        tables.append_new_runs(batch, target, "run")
+    shown = F.col("amount").cast("string").alias("amount")
+    return spark.table(target).select("o_orderkey", shown, F.col("share").cast("decimal(14,2)").alias("share"))
+
+
+@query("SELECT * FROM latest_changed")
+def listing_latest_repaired(spark, sf_dir):
+    """CH7-CH10: the state carried over a new day, and repaired after days were emptied and republished."""
+    config = scratch_product(spark)
+    root = f"{tables.scratch_root(spark)}/{uuid.uuid4().hex}"
+    snap = snapshot_table(spark, sf_dir)
+    days = sorted(r[0] for r in snap.select("ingest_date").distinct().collect())
+
+    def publish_state():
+        jobs.publish_latest(spark, config, root, tables.partition_files(spark, config.snapshot))
+
+    tables.replace_dates(snap.where(F.col("ingest_date") < F.lit(days[-1])), config.snapshot)
+    publish_state()
+    tables.replace_dates(snap.where(F.col("ingest_date") == F.lit(days[-1])), config.snapshot)
+    publish_state()
+    second = snap.where((F.col("ingest_date") == F.lit(days[1])) & ~F.col("bedrooms_min").eqNullSafe(1))
+    tables.replace_date(snap.limit(0), config.snapshot, days[0])
+    tables.replace_date(second, config.snapshot, days[1])
+    publish_state()
+    return spark.table(config.listing_latest).drop("features", "updated_at")
+
+
+@query(
+    """SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey,
+      MAX(o_orderdate)::DATE AS order_day FROM orders GROUP BY o_custkey"""
+)
+def table_upsert_newer(spark, sf_dir):
+    """DX12: years of orders arrive late and twice; the table keeps each customer's newest."""
+    name, _ = _database(spark)
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey", "o_orderkey", "cast(o_orderdate AS date) AS order_day",
+        "struct(o_orderdate, o_orderkey) AS version",
+    )
+    for years in ("BETWEEN 1994 AND 1995", "< 1994", "> 1995", "BETWEEN 1994 AND 1995"):
+        batch = orders.where(f"year(order_day) {years}").groupBy("o_custkey").agg(
+            F.max_by(F.struct(*orders.columns), "version").alias("r")
+        )
+        tables.upsert_newer(batch.select("r.*"), f"{name}.newest", "o_custkey", "version")
+    return spark.table(f"{name}.newest").select("o_custkey", "o_orderkey", "order_day")
+
+
 @query(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN CAST(date_trunc('month', o_orderdate)
         AS DATE) END AS run_month, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01'

@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalake.functions.measures import bracket_labels
-from plazalake.operators.serving import require_columns, single_date
+from plazalake.operators.serving import WEIGHTED_METRICS, require_columns, single_date
 
 
 def write_export(export: DataFrame, path: str) -> None:
@@ -58,6 +58,49 @@ def payload_document(
     return head.unionByName(body).unionByName(part(2, "]}"))
 
 
+def dashboard_document(
+    roll_ups: DataFrame, bounds: Sequence[float], scrape_date: str, digits: int = 6
+) -> DataFrame:
+    """IO22: scrape date, bins, labels, ``market`` and ``bedroomMarket`` as the parts of one document.
+
+    ``roll_ups`` comes from ``serving.dashboard_roll_ups``. Joined by section, district and
+    bedrooms the parts are one JSON document; rows stay distributed at any size.
+    """
+    spark = roll_ups.sparkSession
+    shown = roll_ups.withColumns({c: F.round(c, digits) for c in WEIGHTED_METRICS})
+    metrics = ["district", "listing_count", *WEIGHTED_METRICS]
+    counts = ["new_listing_count", "removed_listing_count", "price_changed_count"]
+    order = F.struct("district_key", "bedrooms")
+    options = {"ignoreNullFields": "false"}
+    market = F.to_json(F.struct("district_key", *metrics), options)
+    by_bedrooms = F.to_json(F.struct("district_key", "bedrooms", *metrics, *counts), options)
+    # Two rows: the last of each list has no comma.
+    last = roll_ups.groupBy("by_bedrooms").agg(F.max(order).alias("_last"))
+    rows = shown.join(F.broadcast(last), "by_bedrooms").select(
+        F.when(F.col("by_bedrooms"), 3).otherwise(1).alias("section"),
+        "district_key",
+        "bedrooms",
+        F.concat(
+            F.when(F.col("by_bedrooms"), by_bedrooms).otherwise(market),
+            F.when(order == F.col("_last"), "").otherwise(","),
+        ).alias("value"),
+    )
+    kinds = dict(rows.dtypes)
+    nowhere = [F.lit(None).cast(kinds[c]).alias(c) for c in ("district_key", "bedrooms")]
+
+    def part(section: int, value: Column, of: DataFrame) -> DataFrame:
+        return of.select(F.lit(section).alias("section"), *nowhere, value.alias("value"))
+
+    head = dashboard_header(bounds, scrape_date, spark)
+    opened = F.concat(F.expr("left(value, length(value) - 1)"), F.lit(',"market":['))
+    return (
+        part(0, opened, head)
+        .unionByName(part(2, F.lit('],"bedroomMarket":['), spark.range(1)))
+        .unionByName(part(4, F.lit("]}"), spark.range(1)))
+        .unionByName(rows)
+    )
+
+
 def write_payload(document: DataFrame, path: str) -> None:
     """IO22: text files that are the document when read one after the other."""
     order = [c for c in document.columns if c != "value"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import threading
 import time
 import uuid
 from collections.abc import Iterator, Sequence
@@ -21,6 +22,7 @@ from pyspark.sql.types import StructType
 
 from plazalake.operators.dedup import require_unique, top_per_key
 from plazalake.operators.joins import lookup_join
+from plazalake.operators.lifecycle import newer_only
 from plazalake.sources.key_index import BUCKETS, KeyIndex
 from plazalake.sources.widening import check_kept, fitted_frame, merged_type
 
@@ -28,6 +30,9 @@ OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 #: Fixed value: the folder of rows without a partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _LOCAL_SCRATCH: dict[str, str] = {}
+#: How many threads write in a session, and the setting that the first one met.
+_WRITERS: dict[SparkSession, tuple[int, str | None]] = {}
+_OVERWRITES = threading.Lock()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -73,14 +78,22 @@ def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
     """Overwrite the partitions a frame holds and no others, whatever the session says.
 
-    Inserts into a catalog table obey the session setting, not a writer option.
+    Inserts into a catalog table obey the session setting, not a writer option. While any
+    thread writes, the setting stays; the last one to end puts back what the first one met.
     """
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    with _OVERWRITES:
+        writers, before = _WRITERS.get(spark, (0, None))
+        before = before if writers else spark.conf.get(OVERWRITE_MODE)
+        _WRITERS[spark] = writers + 1, before
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
     try:
         yield
     finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+        with _OVERWRITES:
+            writers, before = _WRITERS[spark]
+            _WRITERS[spark] = writers - 1, before
+            if writers == 1:
+                spark.conf.set(OVERWRITE_MODE, before)
 
 
 def _written(df: DataFrame, table: str, overwrite: bool) -> int:
@@ -204,6 +217,27 @@ def replace_dates(df: DataFrame, table: str, column: str = "ingest_date") -> int
     return _written(_balanced(_in_table_order(df, table), [column]), table, overwrite=True)
 
 
+def upsert_newer(df: DataFrame, table: str, key: str, version: str, buckets: int = BUCKETS) -> int:
+    """DX12: rows of ``df`` replace stored ones of an older version and join those unknown;
+    returns how many rows the rewritten buckets hold.
+
+    The table is partitioned by its keys' buckets; those that ``df`` has no key of are neither
+    read nor written. The merged rows are staged, since they are read from what they replace.
+    """
+    spark = df.sparkSession
+    require_unique(df, [key])
+    dealt = df.withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets)))
+    ensure_table(dealt, table, ["bucket"])
+    touched = [r[0] for r in dealt.select("bucket").distinct().collect()]
+    if not touched:
+        return 0
+    stored = spark.table(table).where(F.col("bucket").isin(touched))
+    merged = newer_only(stored, dealt.select(*stored.columns), key, version)
+    stage = f"{scratch_root(spark)}/upsert-{uuid.uuid4().hex}"
+    merged.write.parquet(stage)
+    return _written(_balanced(spark.read.schema(merged.schema).parquet(stage), ["bucket"]), table, overwrite=True)
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE FORMATTED {table}")
     return described.where(F.col("col_name") == "Location").first()["data_type"].rstrip("/")

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +179,19 @@ def test_unclosed_elements_end_as_in_a_browser():
     (card,) = read_cards(page, "http://x/")
     assert (card["street"], card["location"], card["price"]) == ("Av. Uno", "Rimac, Lima", "S/ 10inner")
     assert (card["description"], card["maintenance"]) == ("first", "S/ 2")
+
+
+def test_nested_cards_are_read_in_one_pass():
+    """Each card has the first of each mark below it; cards nest 3,000 deep."""
+    one = "<div data-qa='posting' data-id='{}'><b data-qa='POSTING_CARD_PRICE'>S/ {}</b><i class='pill-item-feature'>p{}</i>"
+    depth = 3000
+    page = "".join(one.format(i, i, i) if i % 100 else one.format(i, i, i).replace("POSTING_CARD_PRICE", "x") for i in range(depth))
+    start = time.perf_counter()
+    cards = read_cards(page + "<img src='a.png'>", "http://h/")
+    assert time.perf_counter() - start < 20
+    assert [c["id"] for c in cards] == [str(i) for i in range(depth)]
+    # A card without a price of its own shows that of the card in it.
+    assert [c["price"] for c in cards[98:102]] == ["S/ 98", "S/ 99", "S/ 101", "S/ 101"]
+    assert cards[-2]["amenities"] == ["p2998", "p2999"] and cards[0]["image"] == "http://h/a.png"
+    closed = read_cards(one.format(1, 2, 3) + "</div>" + one.format(4, 5, 6).replace("POSTING_CARD_PRICE", "x"), "")
+    assert [(c["price"], c["amenities"]) for c in closed] == [("S/ 2", ["p3"]), (None, ["p6"])]

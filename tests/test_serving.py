@@ -125,3 +125,23 @@ def test_cards_of_pages_in_capitals(spark):
     assert read_cards(page, "https://h/list?page=2") == read_cards(PAGE, "https://h/list?page=2")
     pages = spark.createDataFrame([(page, "https://h/list?page=2")], "html string, url string")
     assert extract_cards(pages).count() == 1
+
+
+def test_dashboard_document_is_json(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("ATE", "Ate", 1, 3, 1000.0, 900.0, 50.0, 20.0, 1, 0, 2), ("ATE", "Áte", 2, 1, 2000.0, 1900.0, 80.0, 25.0, 0, 1, 0),
+         ("LIMA", "Lima \"x\"", 1, 2, 500.0, 400.0, 30.0, 10.0, None, None, None)],
+        "district_key string, district string, bedrooms int, listing_count long, avg_price double, median_price double, "
+        "avg_area_m2 double, median_price_per_m2 double, new_listing_count int, removed_listing_count int, price_changed_count int",
+    )
+    rolled = serving.dashboard_roll_ups(rows)
+    exports.write_payload(exports.dashboard_document(rolled, (1500, 2000), "2024-01-01"), f"{tmp_path}/doc")
+    text = "".join(r[0] for r in spark.read.text(f"{tmp_path}/doc").collect())
+    page = json.loads("".join(p.read_text(encoding="utf-8") for p in sorted((tmp_path / "doc").glob("part-*"))))
+    assert len(text) > 100 and list(page) == ["scrapeDate", "bins", "binLabels", "market", "bedroomMarket"]
+    assert page["bins"] == [1500.0, 2000.0] and len(page["binLabels"]) == 3
+    assert [(m["district_key"], m["listing_count"], m["avg_rent_pen"]) for m in page["market"]] == [("ATE", 4, 1250.0), ("LIMA", 2, 500.0)]
+    assert [(m["bedrooms"], m["new_listing_count"]) for m in page["bedroomMarket"]] == [(1, 1), (2, 0), (1, None)]
+    for keys, mine in ((["district_key"], page["market"]), (["district_key", "bedrooms"], page["bedroomMarket"])):
+        plain = serving.roll_up(rows, keys).orderBy(*keys).collect()
+        assert [round(r["median_price_m2"], 6) for r in plain] == [m["median_price_m2"] for m in mine]

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from decimal import Decimal
 
@@ -165,6 +166,43 @@ def test_names_that_differ_in_case_are_one_column(spark, database):
     assert rows_of(spark, table, "x") == [(1,), (2,)]
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_two_days_written_by_two_threads(spark, database, mode):
+    table, schema = f"{database}.snap", "k string, ingest_date date"
+    days = [date(2024, 1, d) for d in range(1, 9)]
+    spark.conf.set(tables.OVERWRITE_MODE, mode)
+    tables.replace_dates(spark.createDataFrame([("old", d) for d in days], schema), table)
+
+    def write(day):
+        return tables.replace_date(spark.createDataFrame([("a", day), ("b", day)], schema), table, day, ["k"])
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(write, days[1:])) == [2] * 7
+    assert spark.conf.get(tables.OVERWRITE_MODE) == mode
+    spark.conf.set(tables.OVERWRITE_MODE, "dynamic")
+    spark.catalog.refreshTable(table)
+    got = spark.table(table).groupBy("ingest_date").count().collect()
+    assert {r[0]: r[1] for r in got} == {days[0]: 1, **dict.fromkeys(days[1:], 2)}
+
+
+def test_upsert_newer_rewrites_touched_buckets_only(spark, database):
+    table, schema = f"{database}.newest", "k string, v int, x string"
+    rows = [(f"k{i}", 1, "old") for i in range(200)] + [("none", None, "old")]
+    assert tables.upsert_newer(spark.createDataFrame(rows, schema), table, "k", "v") == 201
+    files = set(spark.table(table).inputFiles())
+    late = [("k3", 0, "late"), ("k3x", 5, "new")]
+    assert tables.upsert_newer(spark.createDataFrame(late[:1], schema), table, "k", "v") > 0
+    spark.catalog.refreshTable(table)
+    assert len(files - set(spark.table(table).inputFiles())) <= 1
+    more = spark.createDataFrame([("k7", 2, "new"), ("none", 1, "new"), ("added", None, "new")], schema)
+    tables.upsert_newer(more, table, "k", "v")
+    got = {r["k"]: r["x"] for r in spark.table(table).collect()}
+    assert len(got) == 202 and [k for k, x in sorted(got.items()) if x == "new"] == ["added", "k7", "none"]
+    assert got["k3"] == "old" and tables.upsert_newer(more.limit(0), table, "k", "v") == 0
+    with pytest.raises(ValueError):
+        tables.upsert_newer(more.unionByName(more), table, "k", "v")
+
+
 def test_days_of_a_listing(spark, database):
     table, schema = f"{database}.snap", "k string, ingest_date date"
     tables.replace_dates(spark.createDataFrame([("a", D1), ("b", D2), ("c", None)], schema), table)
