@@ -71,25 +71,35 @@ def _schema() -> str:
     return ", ".join(dict.fromkeys(fields))
 
 
-def field_paths(record: Column) -> Column:
-    """Sorted names of the top fields of a JSON object and of the objects in them
-    (of the first one, for an array of objects)."""
-    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
-
-    def nested(key: Column) -> Column:
-        inside = F.coalesce(
-            F.json_object_keys(_at(record, key, "[0]")),
-            F.json_object_keys(_at(record, key, "")),
-            F.array().cast("array<string>"),
-        )
-        return F.concat(F.array(key), F.transform(inside, lambda name: F.concat_ws(".", key, name)))
+def _probe() -> str:
+    """Objects where layouts have turns, and where they have text."""
+    fields = []
+    for layout in LAYOUTS.values():
+        if layout.turns:
+            fields.append(f"`{layout.turns}` array<map<string,string>>")
+        else:
+            fields += [f"`{name}` map<string,string>" for _, name in layout.fields]
+    return ", ".join(dict.fromkeys(fields))
+
 
-    return F.array_sort(F.flatten(F.transform(keys, nested)))
+def field_paths(record: Column) -> Column:
+    """Sorted names of the top fields of a JSON object and, below the fields of layouts, of
+    the objects there: of all objects of an array, so that one unlike turn shows."""
+    none = F.array().cast("array<string>")
+    probed = F.from_json(record, _probe())
 
+    def below(name: str, inside: Column) -> Column:
+        return F.transform(F.coalesce(inside, none), lambda key: F.concat(F.lit(f"{name}."), key))
 
-def _at(record: Column, key: Column, index: str) -> Column:
-    path = F.concat(F.lit("$['"), key, F.lit(f"']{index}"))
-    return F.call_function("get_json_object", record, path)
+    nested = []
+    for layout in LAYOUTS.values():
+        if layout.turns:
+            every = F.transform(probed[layout.turns], lambda turn: F.coalesce(F.map_keys(turn), none))
+            nested.append(below(layout.turns, F.flatten(every)))
+        else:
+            nested += [below(name, F.map_keys(probed[name])) for _, name in layout.fields]
+    top = F.coalesce(F.json_object_keys(record), none)
+    return F.array_sort(F.array_distinct(F.concat(top, *nested)))
 
 
 def fingerprint(record: Column) -> Column:

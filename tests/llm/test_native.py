@@ -152,3 +152,27 @@ def test_unknown_layout_raises(spark):
     for i in (1, 2):
         with pytest.raises(Exception, match="no mapping"):
             chat_format.format_records(odd.where(f"conv_id = {i}")).collect()
+
+
+def test_records_with_unlike_turns_are_not_cut(spark):
+    """A turn with other fields than the first gives the record another fingerprint, and text that
+    looks like JSON none."""
+    known = [
+        '{"messages": [{"role": "user", "content": "a"}, {"content": "b", "role": "assistant"}]}',
+        '{"prompt": "{\\"x\\": 1}", "completion": "[{\\"y\\": 2}]"}',
+        '{"completion": null, "prompt": "p"}',
+    ]
+    unknown = [
+        '{"messages": [{"role": "user", "content": "a"}, {"role": "user", "content": "b"}, {"name": "c", "text": "lost"}]}',
+        '{"messages": [{"role": "user", "content": "a"}, {"role": "user", "content": "b", "tool": "t"}]}',
+        '{"messages": "text"}',
+        '{"prompt": {"text": "inner"}, "completion": "c"}',
+        '{"prompt": "p", "completion": "c", "extra": 1}',
+        "[]",
+        "",
+    ]
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(known + unknown)], "i int, record string")
+    turns = {r["i"]: r["t"] for r in rows.select("i", chat_format.canonical_turns(F.col("record")).alias("t")).collect()}
+    assert [turns[i] is None for i in range(len(rows.collect()))] == [False] * 3 + [True] * len(unknown)
+    assert [tuple(t) for t in turns[1]] == [("user", '{"x": 1}'), ("assistant", '[{"y": 2}]')]
+    assert [tuple(t) for t in turns[2]] == [("user", "p"), ("assistant", "")]
