@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +34,6 @@ FILE_OPTIONS = {
 }
 #: Words of a generation whose ids a worker keeps.
 CACHED_WORDS = 150_000
-#: Words that are encoded at a time.
-_WORDS_AT_ONCE = 20_000
 
 _STOPS = b".,"
 _BEYOND_LATIN = "\u0250"
@@ -70,34 +67,29 @@ class WordEncoder:
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
 
-    def __call__(self, texts: list[str | bytes]) -> list[np.ndarray]:
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text and the end id."""
         if len(self.young) > self.most:
             self.old, self.young = self.young, {}
-        data = [t.encode() if isinstance(t, str) else t for t in texts]
-        split = [None if b"<|" in t else t.split() for t in data]
-        self._learn(set(filterfalse(self.young.__contains__, chain.from_iterable(filter(None, split)))))
+        split = [None if "<|" in t else t.encode().split() for t in texts]
+        self._learn(set().union(*filter(None, split)).difference(self.young))
         get = self.young.__getitem__
         return [
             np.frombuffer(b"".join([*map(get, words), _END]), np.int32)
             if words is not None
-            else np.array([*self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, END_ID], np.int32)
-            for t, words in zip(data, split, strict=True)
+            else np.array([*self.tokenizer.encode(t, add_special_tokens=False).ids, END_ID], np.int32)
+            for t, words in zip(texts, split, strict=True)
         ]
 
-    def _recall(self, words: set[bytes]) -> set[bytes]:
-        """Move what the old generation knows of ``words`` to the young one; returns the rest."""
-        known = list(filter(self.old.__contains__, words))
-        self.young.update(zip(known, map(self.old.__getitem__, known), strict=True))
-        return words.difference(known)
-
     def _learn(self, words: set[bytes]) -> None:
         """Put the ids of ``words`` and of all they consist of into the young generation."""
-        words, young = self._recall(words), self.young
-        plain = [w for w in words if w.isalpha() and w.islower()]
-        self._encode_plain(plain)
+        young, old = self.young, self.old
         parts, alike, stopped = set(), [], []
-        for word in words.difference(plain):
+        for word in words:
+            ids = old.get(word)
+            if ids is not None:
+                young[word] = ids
+                continue
             low = word.lower()
             if low[-1] in _STOPS and low[-2:-1].isalpha():
                 stopped.append((word, low[:-1], low[-1:]))
@@ -106,29 +98,30 @@ class WordEncoder:
                 parts.add(low)
                 if low != word:
                     alike.append((word, low))
-        parts = self._recall(parts.difference(young))
-        rest = [p for p in parts if not _latin(p)]
-        self._encode_plain(list(parts.difference(rest)))
-        self._encode_rest(rest)
+        parts.difference_update(young)
+        known = [p for p in parts if p in old]
+        young.update((p, old[p]) for p in known)
+        parts.difference_update(known)
+        self._encode(list(parts))
         young.update((word, young[low]) for word, low in alike)
         young.update((word, young[low] + young[stop]) for word, low, stop in stopped)
 
-    def _encode_plain(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), _WORDS_AT_ONCE):
-            part = words[i : i + _WORDS_AT_ONCE]
-            (made,) = self.plain.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
-            ids = np.array(made.ids, np.int32)
-            # Each of these words is one piece, whose last id alone marks its end.
-            self._keep(part, ids, np.append(0, np.flatnonzero(self.ends[ids]) + 1))
-
-    def _encode_rest(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), _WORDS_AT_ONCE):
-            part = words[i : i + _WORDS_AT_ONCE]
-            texts = [w.decode() for w in part]
-            made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            places = np.fromiter((a for a, _ in made.offsets), np.int64, len(made.ids))
-            begins = np.cumsum([0, *(len(w) + 1 for w in texts)])
-            self._keep(part, np.array(made.ids, np.int32), np.searchsorted(places, begins))
+    def _encode(self, words: list[bytes], at_once: int = 20_000) -> None:
+        for i in range(0, len(words), at_once):
+            plain, rest = [], []
+            for word in words[i : i + at_once]:
+                (plain if word.isalpha() or _latin(word) else rest).append(word)
+            if plain:
+                (made,) = self.plain.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)
+                ids = np.array(made.ids, np.int32)
+                # Each of these words is one piece, whose last id alone marks its end.
+                self._keep(plain, ids, np.append(0, np.flatnonzero(self.ends[ids]) + 1))
+            if rest:
+                texts = [w.decode() for w in rest]
+                made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+                places = np.fromiter((a for a, _ in made.offsets), np.int64, len(made.ids))
+                begins = np.cumsum([0, *(len(w) + 1 for w in texts)])
+                self._keep(rest, np.array(made.ids, np.int32), np.searchsorted(places, begins))
 
     def _keep(self, words: list[bytes], ids: np.ndarray, cuts: np.ndarray) -> None:
         data, cuts = ids.tobytes(), (cuts * 4).tolist()
@@ -137,8 +130,6 @@ class WordEncoder:
 
 def _latin(word: bytes) -> bool:
     """Whether a word with ASCII letters in lower case has nothing but Latin ones in lower case."""
-    if word.isascii():
-        return word.isalpha()
     text = word.decode()
     return text.isalpha() and text.islower() and max(text) < _BEYOND_LATIN
 
@@ -156,7 +147,7 @@ def _encode(path: str):
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                ids = encode(part.column("text").cast(pa.binary()).to_pylist())
+                ids = encode(part.column("text").to_pylist())
                 n = np.fromiter(map(len, ids), np.int64, len(ids))
                 ends = at + np.cumsum(n)
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
