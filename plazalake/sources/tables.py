@@ -120,9 +120,10 @@ def insert_only(
     """
     if batch.isEmpty():
         return 0
+    made = not batch.sparkSession.catalog.tableExists(table)
     ensure_table(batch, table, partition_by)
     index = KeyIndex(batch.sparkSession, table, key, buckets)
-    if not index.catch_up():
+    if made or not index.catch_up():
         rows = _append(batch, table, key, order, partition_by)
     else:
         absent = index.absent(batch).withColumnRenamed(key, "_absent").persist()
