@@ -12,6 +12,10 @@ from plazalake.plans.inputs import manifests, stored
 from plazalake.plans.registry import query
 from plazalake.plans.silver_queries import snapshot_table
 
+def _flat(latest: DataFrame) -> DataFrame:
+    """Comparable form: the array as text."""
+    return latest.withColumn("features", F.concat_ws("|", "features"))
+
 
 def linked_snapshots(spark, sf_dir) -> DataFrame:
     """Snapshots of all days with their neighbours on the publication calendar."""
@@ -53,6 +57,16 @@ def listing_changes_newest_day(spark, sf_dir):
     return changes.changes_for_day(snap, day, before, complete)
 
 
+@query("SELECT * FROM changes WHERE ingest_date = (SELECT MAX(ingest_date) FROM snap)")
+def listing_changes_by_state(spark, sf_dir):
+    """CH2/JN5 as the daily job does it: the stored state says who was known, not all history."""
+    snap, day, before = newest_day(spark, sf_dir)
+    older = snap.where(F.col("ingest_date") < F.lit(day))
+    state = stored(spark, sf_dir, "listing_latest_before", lambda: lifecycle.listing_latest(older))
+    complete = calendar.is_complete(manifests(spark, sf_dir), day)
+    return changes.changes_for_day(snap, day, before, complete, state)
+
+
 @query(
     """SELECT ingest_date, change_type, COUNT(*) AS listings FROM changes
     GROUP BY ingest_date, change_type"""
@@ -125,7 +139,7 @@ def market_segment_summary(spark, sf_dir):
 @query("SELECT * FROM latest")
 def listing_latest(spark, sf_dir):
     """CH7-CH10 from all history."""
-    return lifecycle.listing_latest(snapshot_table(spark, sf_dir)).drop("features")
+    return _flat(lifecycle.listing_latest(snapshot_table(spark, sf_dir)))
 
 
 @query("SELECT * FROM latest")
@@ -133,7 +147,7 @@ def listing_latest_advanced(spark, sf_dir):
     """CH7-CH10 carried from the state before the newest day; equals the recomputation."""
     snap, day, _ = newest_day(spark, sf_dir)
     before = lifecycle.listing_latest(snap.where(F.col("ingest_date") <= F.lit(day - timedelta(1))))
-    return lifecycle.advance_latest(before, snap, day).drop("features")
+    return _flat(lifecycle.advance_latest(before, snap, day))
 
 
 @query(
@@ -158,3 +172,38 @@ def gold_contract(spark, sf_dir):
         lifecycle.listing_latest(snapshot_table(spark, sf_dir)),
         calendar.completeness(manifests(spark, sf_dir)),
     )
+
+
+@query(
+    """SELECT 'market_rows' AS metric, (SELECT COUNT(*) + COUNT_IF(bedrooms = 2) FROM market) AS value
+    UNION ALL SELECT 'change_rows', (SELECT COUNT(*) + COUNT_IF(CAST(listing_id AS BIGINT) % 7 = 0) FROM changes)
+    UNION ALL SELECT 'current_active_listings', (SELECT COUNT_IF(is_active)
+      + COUNT_IF(is_active AND CAST(listing_id AS BIGINT) % 11 = 0) FROM latest)
+    UNION ALL SELECT 'duplicate_market_keys', (SELECT COUNT(*) FROM market WHERE bedrooms = 2)
+    UNION ALL SELECT 'duplicate_change_keys', (SELECT COUNT(*) FROM changes WHERE CAST(listing_id AS BIGINT) % 7 = 0)
+    UNION ALL SELECT 'duplicate_latest_keys', (SELECT COUNT(*) FROM latest WHERE CAST(listing_id AS BIGINT) % 11 = 0)
+    UNION ALL SELECT 'invalid_latest_lifecycle', (SELECT COUNT_IF(CAST(listing_id AS BIGINT) % 5 = 0)
+      + COUNT_IF(CAST(listing_id AS BIGINT) % 55 = 0) FROM latest)
+    UNION ALL SELECT 'successful_bedroom_segments', (SELECT COUNT(*) FROM runs WHERE ok AND seg <> day(run_date) % 4)
+    UNION ALL SELECT 'removed_listings', (SELECT COUNT(*) + COUNT_IF(CAST(listing_id AS BIGINT) % 7 = 0)
+      FROM changes WHERE change_type = 'REMOVED')
+    UNION ALL SELECT 'removed_without_complete_snapshot', (SELECT COUNT(*) FROM (
+      SELECT ingest_date FROM changes WHERE change_type = 'REMOVED' GROUP BY ingest_date) d
+      WHERE (SELECT COUNT(*) FROM runs WHERE ok AND seg <> day(run_date) % 4 AND run_date = d.ingest_date) < 4)"""
+)
+def gold_contract_violations(spark, sf_dir):
+    """DQ15 on tables with repeated keys, lives that end before they begin and days without a segment."""
+    user = F.col("listing_id").cast("bigint")
+    cube = market_table(spark, sf_dir)
+    moves = listing_changes(spark, sf_dir)
+    late = F.when(user % 5 == 0, F.date_add("last_seen_date", 1)).otherwise(F.col("first_seen_date"))
+    latest = lifecycle.listing_latest(snapshot_table(spark, sf_dir)).withColumn("first_seen_date", late)
+    runs = manifests(spark, sf_dir).where(
+        F.col("search_params.bedrooms") != F.day("_partition_ingest_date") % 4
+    )
+    return contracts.gold_contract(
+        cube.unionByName(cube.where(F.col("bedrooms") == 2)),
+        moves.unionByName(moves.where(user % 7 == 0)),
+        latest.unionByName(latest.where(user % 11 == 0)),
+        calendar.completeness(runs),
+    )

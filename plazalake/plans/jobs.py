@@ -236,11 +236,16 @@ def validate_gold(spark: SparkSession, config: EngineConfig, day: date) -> DataF
 
 def full_refresh_job(spark: SparkSession, config: EngineConfig, base: str, prefix: str) -> int:
     """The older product: newest file in, everything recomputed (IO10, IO11, BR14, SR6, AG8)."""
-    bronze, silver, gold = (config.table(layer, prefix) for layer in LAYERS)
     path = landed.newest_file(spark, config.raw_path, config.listing_glob)
-    added = tables.append_new_runs(landed.read_inferred(spark, path, "*"), bronze)
+    added = tables.append_new_runs(landed.read_inferred(spark, path, "*"), config.table("bronze", prefix))
+    recompute(spark, config, base, prefix)
+    return added
+
+
+def recompute(spark: SparkSession, config: EngineConfig, base: str, prefix: str) -> None:
+    """SR6: the typed rows and the market of the older product from all stored runs."""
+    bronze, silver, gold = (config.table(layer, prefix) for layer in LAYERS)
     typed = typed_rows.refresh_typed(spark.table(bronze))
     tables.replace_all(typed, silver, f"{base.rstrip('/')}/silver_{prefix}")
     summary = market.refresh_market(spark.table(silver))
     tables.replace_all(summary, gold, f"{base.rstrip('/')}/gold_{prefix}")
-    return added

@@ -190,7 +190,8 @@ SELECT listing_id, arg_max(listing_type, ingest_date) AS listing_type,
   MIN(ingest_date) AS first_seen_date, MAX(ingest_date) AS last_seen_date,
   COUNT(DISTINCT ingest_date) AS days_observed,
   MAX(ingest_date) = (SELECT MAX(ingest_date) FROM snap) AS is_active,
-  arg_max(run_id, ingest_date) AS last_run_id
+  arg_max(run_id, ingest_date) AS last_run_id,
+  arg_max(event_type || '|' || props, ingest_date) AS features
 FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY ingest_date DESC) AS rk FROM snap)
 GROUP BY listing_id"""
 

@@ -384,6 +384,20 @@ def text_name_keys(spark, sf_dir):
     return documents.select("doc_id", name_key(F.col("text")).alias("text_key"))
 
 
+@query(
+    """SELECT o_orderkey, 'CASA E ' || chr(CAST(4352 + i // 588 AS INTEGER))
+      || chr(CAST(4449 + i % 588 // 28 AS INTEGER))
+      || CASE WHEN i % 28 > 0 THEN chr(CAST(4519 + i % 28 AS INTEGER)) ELSE '' END
+      || chr(119127) || chr(119141) AS name_key
+    FROM (SELECT o_orderkey, o_orderkey % 11172 AS i FROM orders)"""
+)
+def text_keys_of_several_letters(spark, sf_dir):
+    """SV4: names with a Hangul syllable and a character beyond the basic plane."""
+    syllable = "decode(unhex(hex(44032 + o_orderkey % 11172)), 'UTF-16BE')"
+    name = F.expr(f"concat(' casa  é\t', {syllable}, decode(unhex('F09D859E'), 'UTF-8'))")
+    return table(spark, sf_dir, "orders").select("o_orderkey", name_key(name).alias("name_key"))
+
+
 @query(
     """SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN 'ATE' WHEN 1 THEN 'LIMA'
       WHEN 2 THEN 'MAGDALENA DEL MAR' ELSE upper(n_name) END AS district_key FROM nation"""

@@ -90,6 +90,26 @@ def silver_rule_outcomes(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT c.event_id, list_contains(list(f.rule_id), 'INGEST_DATE_INVALID') AS other_day,
+      COUNT(f.rule_id) AS violations
+    FROM cand c LEFT JOIN (SELECT event_id, rule_id FROM failures UNION ALL
+      SELECT event_id, 'INGEST_DATE_INVALID' FROM cand
+      WHERE ingest_date <> (SELECT MAX(run_date) FROM runs WHERE ok)) f USING (event_id)
+    GROUP BY c.event_id"""
+)
+def silver_rules_of_one_day(spark, sf_dir):
+    """DQ5: all observations judged as rows of the newest day; those of other days are refused."""
+    runs = manifests(spark, sf_dir)
+    day = resolve_date(None, published_dates(spark, sf_dir), "_partition_ingest_date")
+    rows = quality.apply_rules(typing.typed_observations(observations(spark, sf_dir), runs), F.lit(day))
+    return rows.select(
+        "event_id",
+        F.array_contains("_failed_rules", "INGEST_DATE_INVALID").alias("other_day"),
+        F.size("_failed_rules").cast("bigint").alias("violations"),
+    )
+
+
 @query(f"SELECT {SNAPSHOT_SQL_COLUMNS} FROM snap")
 def silver_snapshot(spark, sf_dir):
     """ST1 + SI16: canonical snapshot of every day."""
@@ -158,13 +178,15 @@ def silver_snapshot_summary(spark, sf_dir):
 @query(
     """SELECT ingest_date, listing_id, bedrooms, listing_type, url, district, city, bathrooms,
       area_min_m2, area_max_m2, area_avg_m2, currency, price_amount, price_per_m2,
-      run_id, source_observation_key FROM opts"""
+      run_id, source_observation_key, event_type || '|' || props AS features,
+      'pub_' || user_id % 10 AS publisher, epoch_us(observed) AS observed_us,
+      's3://landing/source=web/operation=alquiler/property=departamento/bedrooms=' || seg
+        || '/ingest_date=' || CAST(ingest_date AS VARCHAR) || '/listings_'
+        || CAST(ingest_date AS VARCHAR) || '_b' || seg || '.jsonl' AS source_file FROM opts"""
 )
 def silver_bedroom_options(spark, sf_dir):
     """PX1: one row per listing, day and bedroom count."""
-    return options.bedroom_options(snapshots(spark, sf_dir)).drop(
-        "features", "publisher", "source_file", "observed_at"
-    )
+    return _flat(options.bedroom_options(snapshots(spark, sf_dir)))
 
 
 @query(
@@ -196,6 +218,41 @@ def silver_contract(spark, sf_dir):
     )
 
 
+# A snapshot that breaks each rule of its contract.
+BROKEN = """(SELECT * FROM (SELECT ingest_date, listing_id, bedrooms_min,
+      bedrooms_max + CASE WHEN user_id % 11 = 0 THEN 4 ELSE 0 END AS bedrooms_max,
+      CASE WHEN user_id % 13 = 0 THEN 'unknown' ELSE run_id END AS run_id, user_id FROM snap)
+    CROSS JOIN (VALUES (1), (2)) AS t(time) WHERE time = 1 OR user_id % 7 = 0)"""
+
+
+@query(
+    f"""SELECT 'canonical_rows' AS metric, (SELECT COUNT(*) FROM {BROKEN}) AS value
+    UNION ALL SELECT 'duplicate_snapshot_keys', (SELECT COUNT(*) FROM snap WHERE user_id % 7 = 0)
+    UNION ALL SELECT 'invalid_bedroom_ranges', (SELECT COUNT(*) FROM {BROKEN}
+      WHERE bedrooms_min < 1 OR bedrooms_max > 4 OR bedrooms_min > bedrooms_max)
+    UNION ALL SELECT 'rows_without_successful_manifest', (SELECT COUNT(*) FROM {BROKEN}
+      WHERE run_id NOT IN (SELECT run_id FROM runs WHERE ok))
+    UNION ALL SELECT 'bedroom_option_rows', (SELECT CAST(SUM(bedrooms_max - bedrooms_min + 1) AS BIGINT)
+      FROM {BROKEN} WHERE bedrooms_max <= 4)
+    UNION ALL SELECT 'quarantined_rule_violations', (SELECT COUNT(*) FROM failures)"""
+)
+def silver_contract_violations(spark, sf_dir):
+    """DQ14 on a snapshot with repeated keys, ranges beyond four bedrooms and unknown runs."""
+    snap = snapshot_table(spark, sf_dir)
+    user = F.col("listing_id").cast("bigint")
+    broken = snap.withColumns(
+        {
+            "bedrooms_max": F.col("bedrooms_max") + F.when(user % 11 == 0, 4).otherwise(0),
+            "run_id": F.when(user % 13 == 0, "unknown").otherwise(F.col("run_id")),
+        }
+    )
+    broken = broken.unionByName(broken.where(user % 7 == 0))
+    rejected = quality.quarantine(judged(spark, sf_dir))
+    return contracts.silver_contract(
+        broken, manifests(spark, sf_dir), options.bedroom_options(broken), rejected
+    )
+
+
 # The full-refresh profile reads the same raw fields by other rules.
 REFRESH = """(SELECT event_id, day AS ingest_date,
     CASE WHEN event_type = 'purchase' THEN 'USD' WHEN event_type <> 'error' THEN 'PEN'
@@ -246,7 +303,7 @@ def _rounded(expression: str) -> str:
     return f"CAST(round(CAST({expression} AS DECIMAL(38, 8)), 2) AS DOUBLE)"
 
 
-@query(
+REFRESH_MARKET = (
     f"""SELECT district_clean AS district, ingest_date, COUNT(*) AS listing_count,
       {_rounded("AVG(price_amount)")} AS avg_price, MIN(price_amount) AS min_price,
       MAX(price_amount) AS max_price,
@@ -254,6 +311,9 @@ def _rounded(expression: str) -> str:
       {_rounded("AVG((bedrooms_min + bedrooms_max) / 2)")} AS avg_bedrooms
     FROM {REFRESH} GROUP BY district_clean, ingest_date"""
 )
+
+
+@query(REFRESH_MARKET)
 def refresh_market_by_district(spark, sf_dir):
     """AG8; the mean of price ratios is checked on its own below."""
     return refresh_market(refresh_rows(spark, sf_dir)).drop("avg_price_per_m2")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plazalake.operators import calendar, lifecycle, options, quality, slo
+from plazalake.operators import calendar, lifecycle, options, quality, slo, typing
 from plazalake.plans.gold_queries import market_table
 from plazalake.plans.inputs import manifests, observations, table
 from plazalake.plans.registry import query
 from plazalake.plans.serving_queries import by_district, by_district_bedrooms
-from plazalake.plans.silver_queries import judged, snapshot_table
+from plazalake.plans.silver_queries import judged, snapshot_table, snapshots
 
 
 @query(
@@ -27,15 +27,18 @@ def slo_completeness(spark, sf_dir):
 
 
 @query(
-    """SELECT day AS ingest_date, round((epoch_us(CAST(day AS TIMESTAMP) + INTERVAL 33 HOUR)
-      - epoch_us(MAX(ts))) / 3600000000.0, 6) AS hours,
-      (epoch_us(CAST(day AS TIMESTAMP) + INTERVAL 33 HOUR) - epoch_us(MAX(ts))) / 3600000000.0 <= 24
-        AS met FROM ev WHERE event_id % 211 <> 0 GROUP BY day"""
+    """SELECT ingest_date, round(us / 3600000000.0, 6) AS hours, us / 3600000000.0 <= 24 AS met
+    FROM (SELECT day AS ingest_date, epoch_us(CAST(day AS TIMESTAMP) + INTERVAL 33 HOUR
+      + CASE WHEN day(day) % 4 = 0 THEN INTERVAL 24 HOUR ELSE INTERVAL 0 HOUR END) - epoch_us(MAX(ts)) AS us
+      FROM ev WHERE event_id % 211 <> 0 GROUP BY day)"""
 )
 def slo_freshness(spark, sf_dir):
-    """DX2: published at nine on the following morning (UTC)."""
+    """DX2: published at nine on the following morning (UTC), every fourth day one more day late."""
     scraped = judged(spark, sf_dir).where(F.col("observed_at").isNotNull())
-    nine = F.expr("to_timestamp(concat(cast(date_add(ingest_date, 1) AS string), 'T09:00:00+00:00'))")
+    nine = F.expr(
+        """to_timestamp(concat(cast(date_add(ingest_date, if(day(ingest_date) % 4 = 0, 2, 1)) AS string),
+        'T09:00:00+00:00'))"""
+    )
     checked = slo.freshness(scraped, "observed_at", nine)
     return checked.select("ingest_date", F.round("hours", 6).alias("hours"), "met")
 
@@ -43,23 +46,34 @@ def slo_freshness(spark, sf_dir):
 @query(
     """SELECT run_date AS ingest_date, seg AS bedrooms, n AS records_written,
       lag(n) OVER w AS previous_rows, COALESCE(n < lag(n) OVER w * 0.5, FALSE) AS dropped
-    FROM runs WHERE ok WINDOW w AS (PARTITION BY seg ORDER BY run_date)"""
+    FROM (SELECT * REPLACE (CASE WHEN day(run_date) % 5 = 0 THEN n // 3 ELSE n END AS n) FROM runs)
+    WHERE ok WINDOW w AS (PARTITION BY seg ORDER BY run_date)"""
 )
 def slo_volume_guard(spark, sf_dir):
-    """DX3."""
+    """DX3: crawls of every fifth day break off after a third."""
     runs = manifests(spark, sf_dir).where(F.lower("status") == "success")
+    day = F.col("_partition_ingest_date")
     flat = runs.select(
-        F.col("_partition_ingest_date").alias("ingest_date"),
+        day.alias("ingest_date"),
         F.col("search_params.bedrooms").alias("bedrooms"),
-        "records_written",
+        F.when(F.day(day) % 5 == 0, F.expr("records_written div 3"))
+        .otherwise(F.col("records_written"))
+        .alias("records_written"),
     )
     return slo.volume_guard(flat, "bedrooms", "ingest_date", "records_written")
 
 
-@query("SELECT event_id, area_min_m2, area_max_m2 FROM cand WHERE area_max_m2 < area_min_m2")
+@query(
+    """SELECT event_id, CAST(CASE WHEN event_id % 83 = 0 THEN 50 ELSE area + event_id % 30 END AS DOUBLE)
+        AS area_min_m2, CAST(CASE WHEN event_id % 83 = 0 THEN 0 ELSE area END AS DOUBLE) AS area_max_m2
+    FROM ev WHERE event_id % 2 = 0 AND (event_id % 83 = 0 OR (event_id % 3 = 0 AND event_id % 30 > 0))"""
+)
 def slo_inverted_areas(spark, sf_dir):
-    """DX4."""
-    rows = slo.inverted_areas(judged(spark, sf_dir))
+    """DX4: every second listing writes its range from the larger end."""
+    raw = F.col("area_raw")
+    turned = F.when(F.col("event_id") % 2 == 0, F.regexp_replace(raw, "^([0-9]+) a ([0-9]+)$", "$2 a $1"))
+    bronze = observations(spark, sf_dir).withColumn("area_raw", turned.otherwise(raw))
+    rows = slo.inverted_areas(typing.typed_observations(bronze, manifests(spark, sf_dir)))
     return rows.select("event_id", "area_min_m2", "area_max_m2")
 
 
@@ -99,13 +113,18 @@ def slo_portable_checksum(spark, sf_dir):
     return slo.portable_checksum(snapshot_table(spark, sf_dir), columns, ["ingest_date"])
 
 
-@query("SELECT ingest_date, COUNT(*) AS rows, TRUE AS same FROM snap GROUP BY ingest_date")
+@query(
+    """SELECT ingest_date, COUNT(*) AS rows, ingest_date <> (SELECT MAX(ingest_date) FROM snap) AS same
+    FROM snap GROUP BY ingest_date"""
+)
 def slo_rerun_checksum(spark, sf_dir):
-    """DX7: the snapshot built twice has the same rows and hashes per day."""
-    from plazalake.plans.silver_queries import snapshots
-
+    """DX7: the snapshot built twice has the same rows and hashes per day, but for the newest one,
+    where the second run wrote another price."""
     stored_rows = snapshot_table(spark, sf_dir)
-    again = snapshots(spark, sf_dir).select(*stored_rows.columns)
+    newest = F.lit(calendar.newest_dates(stored_rows)[0])
+    dearer = F.when(F.col("ingest_date") == newest, F.coalesce("price_amount", F.lit(0.0)) + 1.0)
+    again = snapshots(spark, sf_dir).withColumn("price_amount", dearer.otherwise(F.col("price_amount")))
+    again = again.select(*stored_rows.columns)
     first = slo.checksum(stored_rows, ["ingest_date"])
     second = slo.checksum(again, ["ingest_date"]).withColumnsRenamed(
         {"rows": "_rows", "checksum": "_checksum"}

@@ -10,9 +10,9 @@ from plazalake.operators import dedup, monitors
 from plazalake.operators.calendar import newest_dates
 from plazalake.plans import jobs
 from plazalake.plans.bronze_queries import scratch_product
-from plazalake.plans.inputs import listings, table
+from plazalake.plans.inputs import listings, observations, table
 from plazalake.plans.registry import query
-from plazalake.plans.silver_queries import snapshot_table
+from plazalake.plans.silver_queries import REFRESH_MARKET, snapshot_table
 from plazalake.sources import landed, tables
 from plazalake.streaming.ingest import ingest_manifests
 
@@ -168,7 +168,7 @@ def listing_latest_repaired(spark, sf_dir):
     tables.replace_date(snap.limit(0), config.snapshot, days[0])
     tables.replace_date(second, config.snapshot, days[1])
     publish_state()
-    return spark.table(config.listing_latest).drop("features", "updated_at")
+    return spark.table(config.listing_latest).withColumn("features", F.concat_ws("|", "features")).drop("updated_at")
 
 
 @query(
@@ -213,6 +213,19 @@ def table_append_runs(spark, sf_dir):
     return spark.table(target).select("o_orderkey", "run_month", "o_orderpriority")
 
 
+@query(REFRESH_MARKET)
+def table_full_refresh(spark, sf_dir):
+    """SR6/IO15: new runs arrive in two batches, the second repeating the first; everything behind
+    them is recomputed and overwritten after each."""
+    config = scratch_product(spark)
+    root = f"{tables.scratch_root(spark)}/{uuid.uuid4().hex}"
+    rows = observations(spark, sf_dir).withColumn("ingest_date", F.col("_partition_ingest_date"))
+    for batch in (rows.where("seg <= 2"), rows.where("seg > 2 OR _run_id IS NOT NULL")):
+        tables.append_new_runs(batch, config.table("bronze", "refreshed"))
+        jobs.recompute(spark, config, root, "refreshed")
+    return spark.table(config.table("gold", "refreshed")).drop("avg_price_per_m2")
+
+
 @query(
     """SELECT ingest_date, bedrooms, COUNT(DISTINCT listing_id) AS listing_count
     FROM opts GROUP BY ingest_date, bedrooms"""

@@ -248,9 +248,10 @@ def replace_all(df: DataFrame, table: str, base: str, keys: Sequence[str] = ())
     """ST3/IO15: full rewrite, new schema included.
 
     Every version is written to a new folder below ``base`` before the table is pointed
-    at it, so readers find a whole version at any time, ``df`` may read the table it
-    replaces, and a failed run leaves the old state in place. Old folders stay for
-    readers that still scan them and may be removed later.
+    at it, so readers find a whole version, ``df`` may read the table it replaces, and a failed
+    run leaves the old state in place. Only a new schema needs two renames, with a moment
+    without a table in between. Old folders stay for readers that still scan them and
+    may be removed later.
     """
     if keys:
         require_unique(df, keys)

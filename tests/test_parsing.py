@@ -1,4 +1,5 @@
 import time
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +118,20 @@ def test_name_keys(spark):
     assert [tuple(r) for r in rows] == [("RIMAC NANA", "RIMAC NANA"), ("ATE VITARTE", "ATE"), ("", "")]
 
 
+def test_base_letters_of_every_character(spark):
+    def plain(text):
+        return "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
+
+    # Marks are the business of the engine's own Unicode tables, whose version may differ.
+    letters = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c <= 0xDFFF]
+    kinds = {c: unicodedata.category(c) for c in letters}
+    letters = [c for c in letters if kinds[c] not in ("Mn", "Cn") and (kinds[c] != "Mc" or unicodedata.decomposition(c))]
+    texts = [" ".join(letters[i : i + 300]) for i in range(0, len(letters), 300)] + ["한국 é", "", "a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for text, got in df.select("t", T.base_letters(F.col("t"))).collect():
+        assert got == plain(text)
+
+
 def test_place_name_default_only_for_null(spark):
     df = spark.createDataFrame([(" SAN  MIGUEL ",), ("",), (None,)], "n string")
     got = [r[0] for r in df.select(P.place_name(F.col("n"), "Unknown")).collect()]
