@@ -32,8 +32,8 @@ FILE_OPTIONS = {
     "parquet.enable.dictionary": True,
     "parquet.writer.version": "v2",
 }
-#: Words of a generation whose ids a worker keeps.
-CACHED_WORDS = 150_000
+#: Words of a generation whose ids a worker keeps: about 80 MB, and as much for the generation before.
+CACHED_WORDS = 400_000
 
 _STOPS = b".,"
 _BEYOND_LATIN = "\u0250"
