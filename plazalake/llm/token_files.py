@@ -38,7 +38,7 @@ CACHED_WORDS = 400_000
 _STOPS = b".,"
 _BEYOND_LATIN = "\u0250"
 _END = np.int32(END_ID).tobytes()
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
 class WordEncoder:
@@ -134,15 +134,15 @@ def _latin(word: bytes) -> bool:
     return text.isalpha() and text.islower() and max(text) < _BEYOND_LATIN
 
 
-def _encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+def _encoder(path: str, most: int = CACHED_WORDS) -> WordEncoder:
+    if (path, most) not in _encoders:
+        _encoders[path, most] = WordEncoder(path, most)
+    return _encoders[path, most]
 
 
-def _encode(path: str):
+def _encode(path: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path)
+        encode = _encoder(path, most)
         at = 0
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
@@ -166,12 +166,15 @@ def _encode(path: str):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
+def write_tokens(
+    docs: DataFrame, path: str, vocabulary: str | None = None, cached_words: int = CACHED_WORDS
+) -> None:
     """Write (doc_id, part, at, n_tokens, ids) of all rows in ascending doc_id order.
 
     Part files follow each other in doc_id order, nulls last, equal doc_ids by their
     text's hash; ``part`` numbers the files and ``at`` is the place within the file.
     A null text gives the end id alone; other columns of ``docs`` are not read.
+    ``cached_words`` bounds a worker's memory and changes no result.
     """
     vocabulary = vocabulary or public_tokenizers.path(VOCABULARY)
     keys = (F.col("doc_id").isNull(), F.col("doc_id"), F.col("tie"))
@@ -179,7 +182,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None) -> N
     ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     tokens = ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(
-        _encode(vocabulary),
+        _encode(vocabulary, cached_words),
         f"doc_id {id_type}, part int, at bigint, n_tokens bigint, ids array<int>",
     )
     tokens.write.options(**FILE_OPTIONS).parquet(path)
@@ -218,8 +221,10 @@ def read_tokens(spark, path: str) -> DataFrame:
     )
 
 
-def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, vocabulary: str | None = None, cached_words: int = CACHED_WORDS
+) -> DataFrame:
     """Write the token files of ``docs`` to the shared folder and read them back."""
     path = fresh_path(docs.sparkSession, "tokens")
-    write_tokens(docs, path, vocabulary)
+    write_tokens(docs, path, vocabulary, cached_words)
     return read_tokens(docs.sparkSession, path)
