@@ -74,12 +74,14 @@ def bronze_monitor(spark, sf_dir):
 
 
 @query(
-    """SELECT seg AS bedrooms, status, n AS records_written, pages AS pages_scraped, run_id
-    FROM runs"""
+    """SELECT seg AS bedrooms, status, n AS records_written, pages AS pages_scraped, run_id,
+      epoch_us(last_ts) AS completed_us FROM runs"""
 )
 def bronze_run_log(spark, sf_dir):
     """BR17."""
-    return monitors.run_log(manifests(spark, sf_dir)).drop("completed_at")
+    log = monitors.run_log(manifests(spark, sf_dir))
+    completed = F.unix_micros(F.col("completed_at").cast("timestamp"))
+    return log.withColumn("completed_us", completed).drop("completed_at")
 
 
 @query(
