@@ -18,6 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plazalake.llm.common import written
+
 #: Payloads of fewer bytes are never stored as revisits.
 LEAST_REVISIT = 100
 # The field lists of the two versions' header lines.
@@ -280,12 +282,16 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
     head alone, whose Content-Length still is that of the payload.
     """
     page = F.expr(r"try_cast(regexp_extract(cast(head AS string), '(?i)X-Page-Id: (\\d+|-\\d+)', 1) AS bigint)")
-    narrow = read_arc(spark, arc_path, payloads=False)
+    index = written(
+        read_arc(spark, arc_path, payloads=False)
+        .where((F.col("payload_bytes") >= LEAST_REVISIT) & (F.length("head") > 0))
+        .select("payload_digest", "archive", "offset", page.alias("page")),
+        "arc-index",
+    )
     firsts = (
-        narrow.where((F.col("payload_bytes") >= LEAST_REVISIT) & (F.length("head") > 0))
-        .groupBy("payload_digest")
+        index.groupBy("payload_digest")
         .agg(
-            F.min(F.struct(page.isNull().alias("no_page"), page.alias("page"), "archive", "offset")).alias("first"),
+            F.min(F.struct(F.col("page").isNull().alias("no_page"), "page", "archive", "offset")).alias("first"),
             F.count("*").alias("copies"),
         )
         .where("copies > 1")
@@ -295,7 +301,10 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
             F.col("first.offset").alias("first_offset"),
         )
     )
-    joined = read_arc(spark, arc_path).join(firsts, "payload_digest", "left")
+    # Payloads meet their first record by their own place, which no two share, so that a page
+    # that many copy, or an empty one, is no hot key.
+    refs = index.join(firsts, "payload_digest").drop("payload_digest", "page")
+    joined = read_arc(spark, arc_path).join(refs.hint("shuffle_hash"), ["archive", "offset"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()

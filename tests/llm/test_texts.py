@@ -56,6 +56,16 @@ def test_archives(spark, tmp_path):
     assert {by_id[r["refers_to_id"]] for r in read if r["record_type"] == "revisit"} == {3, 14}
 
 
+def test_copies_across_archives_refer_to_one(spark, tmp_path):
+    rows = [(i, f"http://h.example/{i}", ("copy " * 40 if i % 3 else f"own {i} " * 20) if i % 5 else "", "") for i in range(200)]
+    read = through_archives(spark, pages(spark, rows).repartition(7), tmp_path)
+    by_id = {r["record_id"]: r["page_id"] for r in read}
+    assert len(by_id) == len(read) == len(rows)
+    copies = {i for i in range(200) if i % 5 and i % 3}
+    assert {r["page_id"] for r in read if r["record_type"] == "revisit"} == copies - {1}
+    assert {by_id[r["refers_to_id"]] for r in read if r["record_type"] == "revisit"} == {1}
+
+
 def test_empty_archives(spark, tmp_path):
     assert through_archives(spark, pages(spark, []), tmp_path) == []
 
