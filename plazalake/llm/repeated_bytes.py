@@ -41,6 +41,8 @@ SLICE = 1 << 20
 PACKED = 2_000_000
 #: Bytes of texts per bucket, and buckets per shuffle partition at least.
 BUCKET_BYTES, BUCKETS_EACH = 8 << 20, 4
+#: Bytes of texts in a bucket of the stored table, which one task reads.
+STORED_BYTES = 32 << 20
 
 _random = np.random.default_rng(50)
 _WEIGHTS = _random.integers(1, 1 << 63, (2, REACH + 2), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -486,16 +488,19 @@ def _order(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
 
 
-def _stored(docs: DataFrame) -> DataFrame:
-    """The texts with row numbers, as a table bucketed by them: joins on the number move no text."""
+def _stored(docs: DataFrame, size: int) -> DataFrame:
+    """The texts with row numbers, as a table bucketed by them: joins on the number move no text.
+
+    Buckets grow in number with the bytes of the texts, as far as Spark allows buckets.
+    """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    parts = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // STORED_BYTES)), most)
     rows = docs.select("doc_id", empty_if_null("text").alias("text")).select(
         F.monotonically_increasing_id().alias("uid"),
         "doc_id",
         _order(F.col("doc_id")).alias("ord"),
         F.sha2("text", 256).alias("sha"),
-        F.octet_length("text").cast("long").alias("size"),
         "text",
     )
     name = f"texts_{uuid.uuid4().hex}"
@@ -518,7 +523,8 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     than LENGTH bytes stay whole, an empty table gives no rows, and other columns are
     not read. Whole copies of a smaller document's text are removed whole and are not sorted.
     """
-    texts = _stored(docs)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("size")).first()["size"]
+    texts = _stored(docs, size)
     ids = texts.select("uid", "ord", "sha")
     firsts = ids.groupBy("sha").agg(F.min(F.struct("ord", "uid")).alias("first"))
     heads = written(
@@ -529,7 +535,6 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
         ),
         "heads",
     )
-    size = texts.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()["size"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(BUCKETS_EACH * parts, -(-size // BUCKET_BYTES))
 

@@ -278,6 +278,15 @@ def test_removed_bytes(frame):
     check_removed(frame, rows)
 
 
+def test_stored_texts_get_buckets_by_their_bytes(frame, monkeypatch):
+    monkeypatch.setattr(repeated_bytes, "STORED_BYTES", 2000)
+    rows = [(i, prose(60, i % 25) + f" {i}") for i in range(40)]
+    check_removed(frame, rows)
+    size = sum(len(t.encode()) for _, t in rows)
+    files = repeated_bytes._stored(frame(rows), size).inputFiles()
+    assert 4 < len(files) <= -(-size // 2000)
+
+
 def test_removed_bytes_of_odd_rows(frame, odd):
     p = "passage that many documents share, of a little over fifty bytes in all. "
     rows = [(1, None), (2, ""), (3, p), (3, p), (4, p), (None, p), (None, "x" + p), (5, "y" * 49), (6, "y" * 49), (7, "y" * 50)]
