@@ -178,7 +178,8 @@ def _priced(table: pa.Table) -> pa.Table:
             counts[row, entries.values.field("pos").to_numpy()] = entries.values.field("n").to_numpy()
     rows = range(len(sources))
     if side[0] == 2:
-        pairs = list(combinations(rows, 2))
+        # Rows come in any order; a pair has to be named alike in every block.
+        pairs = list(combinations(sorted(rows, key=sources.__getitem__), 2))
     else:
         pairs = list(product([i for i in rows if side[i] == 0], [i for i in rows if side[i] == 1]))
     forest, values = Forest(counts) if size else None, []

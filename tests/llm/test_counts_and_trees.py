@@ -4,9 +4,11 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import permutations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 
@@ -208,6 +210,14 @@ def test_equal_trees_share_nodes():
     assert sorted(zip(of_a.tolist(), of_b.tolist(), times.tolist(), strict=True)) == [(0, 0, 4095), (0, 5, 1)]
 
 
+def test_pairs_are_named_alike_whatever_the_order_of_rows():
+    columns = {"lang": ["x"] * 3, "source": ["b", "", "a"], "whole": [9, 7, 8], "side": [2] * 3, "size": [1] * 3}
+    entries = pa.array([[{"pos": 0, "n": n}] for n in (4, 2, 3)], pa.list_(pa.struct([("pos", pa.int32()), ("n", pa.int64())])))
+    rows = pa.table({**columns, "entries": entries})
+    got = {tuple(map(tuple, map(dict.values, source_divergence._priced(rows.take(order)).to_pylist()))) for order in permutations(range(3))}
+    assert len(got) == 1 and [r[1:3] for r in got.pop()] == [("", "a"), ("", "b"), ("a", "b")]
+
+
 def test_shares_are_exact():
     r = random.Random(2)
     for whole in (3, 10**9 + 7, 8 * 10**15 + 11):
