@@ -64,15 +64,22 @@ def stored(
     return _once(spark, ("stored", sf_dir, name), write_and_read)
 
 
+#: Rows that a task of the parsing behind ``spread`` gets on average at most.
+SPREAD_ROWS = 50_000
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on an input that arrives in fewer splits than there are cores.
+    """Deal the rows to tasks evenly, at least one for each core, more as the table grows.
 
-    Such an input is small by definition (a split is at most
-    ``spark.sql.files.maxPartitionBytes``), so the shuffle is cheap and the
-    text parsing behind it runs in parallel. A large table passes unchanged.
+    Files are split by bytes, but a split gets the row groups that begin in it: of a file of few
+    row groups most splits are empty, and all text parsing would run in a few tasks. So the
+    rows of each split are counted, from the files' footers alone; a table that
+    its files deal evenly passes unchanged.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    splits = df.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    rows, most = splits.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SPREAD_ROWS))
+    return df if most * tasks <= 2 * rows else df.repartition(tasks, key)
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
