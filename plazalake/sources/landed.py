@@ -10,10 +10,11 @@ from plazalake.operators.typing import key_manifests, key_observations, stamp_pa
 from plazalake.schemas import LISTING_SCHEMA, MANIFEST_SCHEMA
 
 
-def _lost(text: Column, parsed: Column, schema: StructType, path: str) -> Column:
-    """Map of dotted path to text of the entries of a JSON object that ``parsed`` doesn't hold."""
-    nothing = F.create_map().cast("map<string,string>")
-    entries = F.from_json(text, "map<string,string>")
+_ENTRIES = "map<string,string>"
+
+
+def _lost(entries: Column, parsed: Column, schema: StructType, path: str) -> Column:
+    """Map of dotted path to text of those ``entries`` of a JSON object that ``parsed`` doesn't hold."""
     holds = {f.name: parsed[f.name].isNotNull() for f in schema}
     for f in schema:
         if isinstance(f.dataType, ArrayType):  # elements that became texts differ from the source
@@ -23,37 +24,60 @@ def _lost(text: Column, parsed: Column, schema: StructType, path: str) -> Column
     known = F.array(*[F.lit(name) for name in holds])
     lost = F.map_filter(
         entries,
-        lambda key, value: ~F.array_contains(known, key)
-        | (value.isNotNull() & ~F.array_contains(held, key)),
+        lambda key, value: ~F.array_contains(held, key)
+        & (value.isNotNull() | ~F.array_contains(known, key)),
     )
-    parts = [F.transform_keys(lost, lambda key, _: F.concat(F.lit(path), key))]
-    for f in schema:
-        if isinstance(f.dataType, StructType):
-            inside = F.try_element_at(entries, F.lit(f.name))
-            below = _lost(inside, parsed[f.name], f.dataType, f"{path}{f.name}.")
-            parts.append(F.when(parsed[f.name].isNotNull() & inside.isNotNull(), below))
-    return F.map_concat(*[F.coalesce(part, nothing) for part in parts])
+    return F.transform_keys(lost, lambda key, _: F.concat(F.lit(path), key))
 
 
-def rescue(value: Column, parsed: Column, schema: StructType) -> Column:
-    """IO5: JSON of every entry the schema did not take, at any depth, by dotted path.
+def _objects(schema: StructType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], StructType]]:
+    """Every object of a schema, by the names that lead to it, outer ones first."""
+    inner = [_objects(f.dataType, (*path, f.name)) for f in schema if isinstance(f.dataType, StructType)]
+    return [(path, schema), *(found for part in inner for found in part)]
 
-    That is unknown keys, and known keys whose value did not fit the declared
-    type. A line that is no JSON object is kept whole.
-    """
-    lost = _lost(value, parsed, schema, "")
-    broken = F.to_json(F.create_map(F.lit("_corrupt_record"), value))
-    unread = F.from_json(value, "map<string,string>").isNull()
-    return F.when(unread, broken).when(F.size(lost) > 0, F.to_json(lost))
+
+def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add ``columns`` so that what reads them later doesn't compute them again."""
+    return df.withColumns(columns).select(F.inline(F.array(F.struct("*"))))
 
 
 def parse_landed(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """Typed columns plus ``_rescued_data`` from a JSON text column."""
+    """Typed columns plus ``_rescued_data`` from a JSON text column (IO5).
+
+    ``_rescued_data`` is JSON of every entry the schema did not take, at any depth, by dotted
+    path. That is unknown keys, and known keys whose value did not fit the declared type. A line
+    that is no JSON object is kept whole.
+
+    A line is parsed twice, as the schema and as entries, and each object inside once more.
+    """
     others = [c for c in df.columns if c != value]
-    parsed = df.withColumn("_parsed", F.from_json(F.col(value), schema))
-    return parsed.select(
-        "_parsed.*", rescue(F.col(value), F.col("_parsed"), schema).alias("_rescued_data"), *others
+    line, objects = F.col(value), _objects(schema)
+    names = {path: f"_entries{i}" for i, (path, _) in enumerate(objects)}
+    rows = _computed(df, {"_parsed": F.from_json(line, schema), names[()]: F.from_json(line, _ENTRIES)})
+
+    def typed(path: tuple[str, ...]) -> Column:
+        column = F.col("_parsed")
+        for name in path:
+            column = column[name]
+        return column
+
+    for depth in range(1, max(len(path) for path, _ in objects) + 1):
+        inside = {}
+        for path in (p for p, _ in objects if len(p) == depth):
+            text = F.try_element_at(F.col(names[path[:-1]]), F.lit(path[-1]))
+            inside[names[path]] = F.when(typed(path).isNotNull(), F.from_json(text, _ENTRIES))
+        rows = _computed(rows, inside)
+    nothing = F.create_map().cast(_ENTRIES)
+    lost = F.map_concat(
+        *[
+            F.coalesce(_lost(F.col(names[p]), typed(p), fields, "".join(f"{n}." for n in p)), nothing)
+            for p, fields in objects
+        ]
     )
+    rows = _computed(rows, {"_lost": lost})
+    broken = F.to_json(F.create_map(F.lit("_corrupt_record"), line))
+    rescued = F.when(F.col(names[()]).isNull(), broken).when(F.size("_lost") > 0, F.to_json("_lost"))
+    return rows.select("_parsed.*", rescued.alias("_rescued_data"), *others)
 
 
 def _with_lineage(df: DataFrame) -> DataFrame:

@@ -243,6 +243,18 @@ def test_rescued_data(spark):
     ]
 
 
+def test_each_object_of_a_line_is_parsed_once_for_its_entries(spark):
+    df = spark.createDataFrame([('{"_raw": {"id": "1", "floor": 2}, "_search_params": {"bedrooms": "x"}}',)], "value string")
+    rows = landed.parse_landed(df.where("value <> ''"), LISTING_SCHEMA)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("from_json(") == 4  # the line by its schema, and entries of it and two objects
+    assert rows.first()["_rescued_data"] == '{"_search_params.bedrooms":"x","_raw.floor":"2"}'
+
+
 def test_manifest_contract(spark):
     rows = spark.createDataFrame(
         [("scheduled_20260713_b3", date(2026, 7, 13), p, "2026-07-13T05:00:00+00:00") for p in (1, 1, 2)],
