@@ -64,27 +64,32 @@ def stored(
     return _once(spark, ("stored", sf_dir, name), write_and_read)
 
 
-#: Rows that a task of the parsing behind ``spread`` gets on average at most.
-SPREAD_ROWS = 50_000
+#: Rows that a task behind ``spread`` gets on average at most: of tables whose texts are parsed,
+#: and of those that are only sorted and joined.
+SPREAD_ROWS, SORTED_ROWS = 50_000, 500_000
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str, task_rows: int | None = None) -> DataFrame:
     """Deal the rows to tasks evenly, at least one for each core, more as the table grows.
 
     Files are split by bytes, but a split gets the row groups that begin in it: of a file of few
-    row groups most splits are empty, and all text parsing would run in a few tasks. So the
+    row groups most splits are empty, and all work before a shuffle would run in a few tasks. So the
     rows of each split are counted, from the files' footers alone; a table that
     its files deal evenly passes unchanged.
     """
     splits = df.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
     rows, most = splits.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SPREAD_ROWS))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // (task_rows or SPREAD_ROWS)))
     return df if most * tasks <= 2 * rows else df.repartition(tasks, key)
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+def spread_table(
+    spark: SparkSession, sf_dir: str, name: str, key: str, task_rows: int | None = None
+) -> DataFrame:
     return _once(
-        spark, ("spread", sf_dir, name), lambda: spread(table(spark, sf_dir, name), key)
+        spark,
+        ("spread", sf_dir, name, str(task_rows)),
+        lambda: spread(table(spark, sf_dir, name), key, task_rows),
     )
 
 

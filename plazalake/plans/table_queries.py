@@ -10,7 +10,7 @@ from plazalake.operators import dedup, monitors
 from plazalake.operators.calendar import newest_dates
 from plazalake.plans import jobs
 from plazalake.plans.bronze_queries import scratch_product
-from plazalake.plans.inputs import listings, observations, table
+from plazalake.plans.inputs import SORTED_ROWS, listings, observations, spread_table, table
 from plazalake.plans.registry import query
 from plazalake.plans.silver_queries import REFRESH_MARKET, snapshot_table
 from plazalake.sources import landed, tables
@@ -34,7 +34,7 @@ def _database(spark) -> tuple[str, str]:
 def table_insert_only(spark, sf_dir):
     """BR13/JN12: early lines first, then all lines, then all again (adds nothing)."""
     name, _ = _database(spark)
-    lines = table(spark, sf_dir, "lineitem").withColumn(
+    lines = spread_table(spark, sf_dir, "lineitem", "l_orderkey", SORTED_ROWS).withColumn(
         "line_key", F.concat_ws("||", "l_orderkey", "l_linenumber")
     )
     order = [F.col(c).desc() for c in ("l_shipdate", "l_extendedprice", "l_partkey")]
