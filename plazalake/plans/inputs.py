@@ -77,10 +77,16 @@ def spread(df: DataFrame, key: str, task_rows: int | None = None) -> DataFrame:
     rows of each split are counted, from the files' footers alone; a table that
     its files deal evenly passes unchanged.
     """
+    tasks, even = _tasks(df, task_rows)
+    return df if even else df.repartition(tasks, key)
+
+
+def _tasks(df: DataFrame, task_rows: int | None = None) -> tuple[int, bool]:
+    """How many tasks the rows of files ask for, and whether the splits deal them evenly to as many."""
     splits = df.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
     rows, most = splits.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // (task_rows or SPREAD_ROWS)))
-    return df if most * tasks <= 2 * rows else df.repartition(tasks, key)
+    return tasks, most * tasks <= 2 * rows
 
 
 def spread_table(
@@ -94,7 +100,11 @@ def spread_table(
 
 
 def crawl_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_table(spark, sf_dir, "events", "event_id").selectExpr(
+    return _crawled(spread_table(spark, sf_dir, "events", "event_id"))
+
+
+def _crawled(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
         "event_id", "ts", "user_id", "event_type", "value", "props",
         "cast(ts AS date) AS day",
         "cast(1 + user_id % 4 AS int) AS seg",
@@ -119,17 +129,31 @@ def _iso(column: str) -> str:
     return f"concat(replace(cast({column} AS string), ' ', 'T'), '+00:00')"
 
 
+def placed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawled events with the district of their user, dealt to tasks by their number.
+
+    They are dealt behind the joins: a join with more users than are broadcast shuffles the
+    narrow events, and its tasks are cut by bytes, too coarsely for texts that are composed
+    and parsed afterwards.
+    """
+
+    def dealt() -> DataFrame:
+        events = table(spark, sf_dir, "events")
+        customer = table(spark, sf_dir, "customer").selectExpr(
+            "c_custkey AS user_id", "c_nationkey AS n_nationkey"
+        )
+        nation = table(spark, sf_dir, "nation").selectExpr(
+            "n_nationkey", "concat(' ', translate(n_name, 'AO', 'ÁÓ')) AS district"
+        )
+        placed = lookup_join(lookup_join(_crawled(events), customer, ["user_id"]), nation, ["n_nationkey"])
+        return placed.repartition(_tasks(events)[0], "event_id")
+
+    return _once(spark, ("placed", sf_dir), dealt)
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listing records (landing schema) plus ``event_id``, ``seg`` and ``day``."""
-    ev = crawl_events(spark, sf_dir)
-    customer = table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey AS user_id", "c_nationkey AS n_nationkey"
-    )
-    nation = table(spark, sf_dir, "nation").selectExpr(
-        "n_nationkey", "concat(' ', translate(n_name, 'AO', 'ÁÓ')) AS district"
-    )
-    ev = lookup_join(lookup_join(ev, customer, ["user_id"]), nation, ["n_nationkey"])
-    return ev.selectExpr(
+    return placed_events(spark, sf_dir).selectExpr(
         "event_id", "seg", "day",
         """CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 7 = 0 THEN concat(' ', user_id, ' ')
            ELSE cast(user_id AS string) END AS listing_id""",

@@ -1,5 +1,7 @@
 """How the rows of the given tables are dealt to tasks."""
 
+import shutil
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -38,3 +40,29 @@ def test_rows_are_spread_whatever_the_row_groups(spark, tmp_path, small_splits,
 def test_an_empty_table_is_spread_over_nothing(spark, tmp_path):
     spark.range(0).write.parquet(f"{tmp_path}/t.parquet")
     assert inputs.spread(spark.read.parquet(f"{tmp_path}/t.parquet"), "id").count() == 0
+
+
+@pytest.fixture
+def broadcast_at_most(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, size)
+    spark.conf.set(name, before)
+
+
+@pytest.fixture
+def fresh_tables(tmp_path):
+    """Tables that no other test has read."""
+    for name in ("events", "customer", "nation"):
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path)
+    return str(tmp_path)
+
+
+def test_listings_are_dealt_evenly_behind_joins_that_shuffle(spark, fresh_tables, broadcast_at_most, monkeypatch):
+    monkeypatch.setattr(inputs, "SPREAD_ROWS", 50)
+    broadcast_at_most("-1")
+    rows = inputs.listings(spark, fresh_tables)
+    counts = task_rows(rows)
+    total = pq.ParquetFile(f"{fresh_tables}/events.parquet").metadata.num_rows
+    assert sum(counts) == total and len(counts) == -(-total // 50) and max(counts) <= 2 * 50
+    assert rows.agg(F.countDistinct("event_id")).first()[0] == total
