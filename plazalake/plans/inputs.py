@@ -236,9 +236,15 @@ def raw_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze manifests. Cached: a few rows per day, read by several branches of a job."""
-    return _once(
-        spark,
-        ("manifests", sf_dir),
-        lambda: key_manifests(stamp_paths(raw_manifests(spark, sf_dir))).persist(),
-    )
+    """Bronze manifests. Cached: a few rows per day, read by several branches of a job.
+
+    They are counted at once: a cached frame's size is only known when it is filled, and a join
+    that doesn't know it shuffles all observations to their runs before it does.
+    """
+
+    def filled() -> DataFrame:
+        rows = key_manifests(stamp_paths(raw_manifests(spark, sf_dir))).persist()
+        rows.count()
+        return rows
+
+    return _once(spark, ("manifests", sf_dir), filled)

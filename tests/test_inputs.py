@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from plazalake.plans import inputs
+from plazalake.plans import inputs, silver_queries
 
 
 def task_rows(df):
@@ -66,3 +66,10 @@ def test_listings_are_dealt_evenly_behind_joins_that_shuffle(spark, fresh_tables
     total = pq.ParquetFile(f"{fresh_tables}/events.parquet").metadata.num_rows
     assert sum(counts) == total and len(counts) == -(-total // 50) and max(counts) <= 2 * 50
     assert rows.agg(F.countDistinct("event_id")).first()[0] == total
+
+
+def test_observations_meet_their_runs_without_a_shuffle(spark, fresh_tables, broadcast_at_most):
+    broadcast_at_most("8k")
+    typed = silver_queries.silver_typed_observations(spark, fresh_tables)
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
