@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from plazalake.operators.joins import lookup_join
 from plazalake.operators.typing import key_manifests, key_observations, stamp_paths
-from plazalake.sources.tables import scratch_root
+from plazalake.sources.tables import compiled, scratch_root
 
 BASE_URL = "https://listings.example"
 
@@ -58,7 +58,8 @@ def stored(
         rows = build()
         if partition_by:
             rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        with compiled(spark):
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return spark.read.parquet(path)
 
     return _once(spark, ("stored", sf_dir, name), write_and_read)

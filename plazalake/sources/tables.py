@@ -13,7 +13,7 @@ import threading
 import time
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -27,12 +27,15 @@ from plazalake.sources.key_index import BUCKETS, KeyIndex
 from plazalake.sources.widening import check_kept, fitted_frame, merged_type
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+#: Fixed value: the JVM never compiles a method of more bytes of bytecode, it interprets it.
+COMPILED_BYTES = 8000
 #: Fixed value: the folder of rows without a partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _LOCAL_SCRATCH: dict[str, str] = {}
-#: How many threads write in a session, and the setting that the first one met.
-_WRITERS: dict[SparkSession, tuple[int, str | None]] = {}
-_OVERWRITES = threading.Lock()
+#: How many threads hold a setting of a session, and the value that the first one met.
+_HOLDERS: dict[tuple[SparkSession, str], tuple[int, str | None]] = {}
+_SETTINGS = threading.Lock()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -75,32 +78,49 @@ def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 @contextmanager
-def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
-    """Overwrite the partitions a frame holds and no others, whatever the session says.
+def _held(spark: SparkSession, setting: str, value: str) -> Iterator[None]:
+    """A setting of the session for the time of a write.
 
-    Inserts into a catalog table obey the session setting, not a writer option. While any
-    thread writes, the setting stays; the last one to end puts back what the first one met.
+    While any thread holds it, it stays; the last one to end puts back what the first one met.
     """
-    with _OVERWRITES:
-        writers, before = _WRITERS.get(spark, (0, None))
-        before = before if writers else spark.conf.get(OVERWRITE_MODE)
-        _WRITERS[spark] = writers + 1, before
-        spark.conf.set(OVERWRITE_MODE, "dynamic")
+    slot = spark, setting
+    with _SETTINGS:
+        holders, before = _HOLDERS.get(slot, (0, None))
+        before = before if holders else spark.conf.get(setting)
+        _HOLDERS[slot] = holders + 1, before
+        spark.conf.set(setting, value)
     try:
         yield
     finally:
-        with _OVERWRITES:
-            writers, before = _WRITERS[spark]
-            _WRITERS[spark] = writers - 1, before
-            if writers == 1:
-                spark.conf.set(OVERWRITE_MODE, before)
+        with _SETTINGS:
+            holders, before = _HOLDERS[slot]
+            _HOLDERS[slot] = holders - 1, before
+            if holders == 1:
+                spark.conf.set(setting, before)
+
+
+def _only_written_partitions(spark: SparkSession) -> AbstractContextManager[None]:
+    """Overwrite the partitions a frame holds and no others, whatever the session says.
+
+    Inserts into a catalog table obey the session setting, not a writer option.
+    """
+    return _held(spark, OVERWRITE_MODE, "dynamic")
+
+
+def compiled(spark: SparkSession) -> AbstractContextManager[None]:
+    """Run stages whose generated method the JVM wouldn't compile as separate operators.
+
+    Composing and parsing an observation's texts makes one method of more than
+    COMPILED_BYTES, and interpreted it takes twice the time.
+    """
+    return _held(spark, METHOD_LIMIT, str(COMPILED_BYTES))
 
 
 def _written(df: DataFrame, table: str, overwrite: bool) -> int:
     """Write once and report the number of rows written, without a second pass."""
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    with _only_written_partitions(df.sparkSession):
+    with _only_written_partitions(df.sparkSession), compiled(df.sparkSession):
         counted.write.insertInto(table, overwrite=overwrite)
     return seen.get["rows"]
 
@@ -257,7 +277,8 @@ def replace_all(df: DataFrame, table: str, base: str, keys: Sequence[str] = ())
         require_unique(df, keys)
     spark = df.sparkSession
     target = f"{base.rstrip('/')}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(target)
+    with compiled(spark):
+        df.write.parquet(target)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     if not spark.catalog.tableExists(table):
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{target}'")

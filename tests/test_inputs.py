@@ -5,9 +5,10 @@ import shutil
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from plazalake.plans import inputs, silver_queries
+from plazalake.plans import inputs, silver_queries, table_queries
 
 
 def task_rows(df):
@@ -73,3 +74,21 @@ def test_observations_meet_their_runs_without_a_shuffle(spark, fresh_tables, bro
     typed = silver_queries.silver_typed_observations(spark, fresh_tables)
     plan = typed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_long_expressions_are_written_by_methods_that_the_jvm_compiles(spark, fresh_tables, monkeypatch):
+    name, met, seen = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit"), []
+
+    def noting(write):
+        return lambda *args, **options: (seen.append(spark.conf.get(name)), write(*args, **options))[1]
+
+    for method in ("parquet", "insertInto"):
+        monkeypatch.setattr(DataFrameWriter, method, noting(getattr(DataFrameWriter, method)))
+    spark.conf.set(name, "65535")
+    try:
+        table_queries.table_full_refresh(spark, fresh_tables)
+        silver_queries.snapshot_table(spark, fresh_tables)
+        assert len(seen) >= 7 and set(seen) == {"8000"}
+        assert spark.conf.get(name) == "65535"
+    finally:
+        spark.conf.set(name, met)
