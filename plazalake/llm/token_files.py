@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,43 +68,54 @@ class WordEncoder:
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text and the end id."""
+    def __call__(self, texts: pa.StringArray | list[str]) -> list[np.ndarray]:
+        """The ids of each text and the end id. Only a batch's different words, ASCII letters
+        in lower case, are looked up."""
         if len(self.young) > self.most:
             self.old, self.young = self.young, {}
-        split = [None if "<|" in t else t.encode().split() for t in texts]
-        self._learn(set().union(*filter(None, split)).difference(self.young))
-        get = self.young.__getitem__
-        return [
-            np.frombuffer(b"".join([*map(get, words), _END]), np.int32)
-            if words is not None
-            else np.array([*self.tokenizer.encode(t, add_special_tokens=False).ids, END_ID], np.int32)
-            for t, words in zip(texts, split, strict=True)
-        ]
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        special = pc.match_substring(texts, "<|")
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(special, "", texts)))
+        coded = split.flatten().dictionary_encode()
+        # Words hold no line feed; the end id stands behind them all.
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), "\n")
+        words = joined[0].as_py().encode().split(b"\n") if len(coded.dictionary) else []
+        self._learn(set(words).difference(self.young))
+        held = [*map(self.young.__getitem__, words), _END]
+        ids = np.frombuffer(b"".join(held), np.int32)
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        borders = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        order = np.insert(coded.indices.to_numpy(), borders, len(words))
+        n = sizes[order]
+        ends = np.cumsum(n)
+        # Where each id of the texts stands among those of the different words.
+        at = np.repeat((np.cumsum(sizes) - sizes)[order] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        found = np.split(ids[at], ends[borders[:-1] + np.arange(len(texts) - 1)]) if len(texts) else []
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)):
+            made = self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False)
+            found[i] = np.array([*made.ids, END_ID], np.int32)
+        return found
 
     def _learn(self, words: set[bytes]) -> None:
         """Put the ids of ``words`` and of all they consist of into the young generation."""
         young, old = self.young, self.old
-        parts, alike, stopped = set(), [], []
+        parts, stopped = set(), []
         for word in words:
             ids = old.get(word)
             if ids is not None:
                 young[word] = ids
-                continue
-            low = word.lower()
-            if low[-1] in _STOPS and low[-2:-1].isalpha():
-                stopped.append((word, low[:-1], low[-1:]))
+            elif not word:
+                young[word] = b""
+            elif word[-1] in _STOPS and word[-2:-1].isalpha():
+                stopped.append((word, word[:-1], word[-1:]))
                 parts.update(stopped[-1][1:])
             else:
-                parts.add(low)
-                if low != word:
-                    alike.append((word, low))
+                parts.add(word)
         parts.difference_update(young)
         known = [p for p in parts if p in old]
         young.update((p, old[p]) for p in known)
         parts.difference_update(known)
         self._encode(list(parts))
-        young.update((word, young[low]) for word, low in alike)
         young.update((word, young[low] + young[stop]) for word, low, stop in stopped)
 
     def _encode(self, words: list[bytes], at_once: int = 20_000) -> None:
@@ -147,7 +159,7 @@ def _encode(path: str, most: int):
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                ids = encode(part.column("text").to_pylist())
+                ids = encode(part.column("text"))
                 n = np.fromiter(map(len, ids), np.int64, len(ids))
                 ends = at + np.cumsum(n)
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)

@@ -229,6 +229,17 @@ def test_words_encode_like_the_whole_text(text):
     assert token_files._encoder(path)([text])[0].tolist() == [*whole, 1]
 
 
+def test_words_of_a_batch_are_looked_up_once_whatever_their_case():
+    import pyarrow as pa
+
+    encoder = token_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["left out", "", "The the\x0bTHE the. <|", " \n", "The the\x0bTHE the.  THE.", "x, \x1c É é", ""]
+    for column in (texts[1:], pa.array(texts, pa.string()).slice(1), pa.array([], pa.string())):
+        whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts[1:]] if len(column) else []
+        assert [ids.tolist() for ids in encoder(column)] == whole
+    assert {b"the", b"the."} <= encoder.young.keys() and not {b"The", b"THE", b"THE."} & encoder.young.keys()
+
+
 def test_token_file_layout(spark, frame, tmp_path):
     import pyarrow.parquet as pq
 
