@@ -104,9 +104,9 @@ def crawl_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _crawled(spread_table(spark, sf_dir, "events", "event_id"))
 
 
-def _crawled(events: DataFrame) -> DataFrame:
+def _crawled(events: DataFrame, *more: str) -> DataFrame:
     return events.selectExpr(
-        "event_id", "ts", "user_id", "event_type", "value", "props",
+        *more, "event_id", "ts", "user_id", "event_type", "value", "props",
         "cast(ts AS date) AS day",
         "cast(1 + user_id % 4 AS int) AS seg",
         "cast(floor(value * 10) AS bigint) AS amount",
@@ -135,7 +135,8 @@ def placed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     They are dealt behind the joins: a join with more users than are broadcast shuffles the
     narrow events, and its tasks are cut by bytes, too coarsely for texts that are composed
-    and parsed afterwards.
+    and parsed afterwards. Dealt to more than 200 tasks, the rows of a split are held in memory
+    until they are written, so columns that derive from others are added behind that.
     """
 
     def dealt() -> DataFrame:
@@ -146,8 +147,9 @@ def placed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         nation = table(spark, sf_dir, "nation").selectExpr(
             "n_nationkey", "concat(' ', translate(n_name, 'AO', 'ÁÓ')) AS district"
         )
-        placed = lookup_join(lookup_join(_crawled(events), customer, ["user_id"]), nation, ["n_nationkey"])
-        return placed.repartition(_tasks(events)[0], "event_id")
+        placed = lookup_join(lookup_join(events, customer, ["user_id"]), nation, ["n_nationkey"])
+        dealt_rows = placed.drop("n_nationkey").repartition(_tasks(events)[0], "event_id")
+        return _crawled(dealt_rows, "district")
 
     return _once(spark, ("placed", sf_dir), dealt)
 

@@ -69,6 +69,16 @@ def test_listings_are_dealt_evenly_behind_joins_that_shuffle(spark, fresh_tables
     assert rows.agg(F.countDistinct("event_id")).first()[0] == total
 
 
+def test_only_given_columns_are_dealt(spark, fresh_tables):
+    columns = "event_id seg day user_id event_type props amount area page ts district".split()
+    rows = inputs.placed_events(spark, fresh_tables).select(*columns)
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    while "RepartitionByExpression" not in plan.nodeName():
+        plan = plan.children().apply(0)
+    dealt = {plan.output().apply(i).name() for i in range(plan.output().size())}
+    assert dealt == {"event_id", "ts", "user_id", "event_type", "value", "props", "district"}
+
+
 def test_observations_meet_their_runs_without_a_shuffle(spark, fresh_tables, broadcast_at_most):
     broadcast_at_most("8k")
     typed = silver_queries.silver_typed_observations(spark, fresh_tables)
