@@ -19,7 +19,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plazalake.llm.common import empty_if_null, fresh_path
+from plazalake.llm.common import empty_if_null, fresh_path, written
+from plazalake.sources.tables import READER_ROWS, reading
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -35,6 +36,10 @@ FILE_OPTIONS = {
 }
 #: Words of a generation whose ids a worker keeps: about 80 MB, and as much for the generation before.
 CACHED_WORDS = 400_000
+#: Texts, and bytes of texts, that are encoded at a time; words whose ids are put together at a time.
+ROWS, SLICE, BLOCK = 512, 4 << 20, 1 << 20
+#: Ids that a task reads from the files at a time, or those of one longer document.
+READ_IDS = 1 << 21
 
 _STOPS = b".,"
 _BEYOND_LATIN = "\u0250"
@@ -83,17 +88,23 @@ class WordEncoder:
         self._learn(set(words).difference(self.young))
         held = [*map(self.young.__getitem__, words), _END]
         ids = np.frombuffer(b"".join(held), np.int32)
-        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        sizes = np.fromiter(map(len, held), np.int32, len(held)) // 4
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
         borders = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
         order = np.insert(coded.indices.to_numpy(), borders, len(words))
         n = sizes[order]
-        ends = np.cumsum(n)
-        # Where each id of the texts stands among those of the different words.
-        at = np.repeat((np.cumsum(sizes) - sizes)[order] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        found = np.split(ids[at], ends[borders[:-1] + np.arange(len(texts) - 1)]) if len(texts) else []
+        ends = np.cumsum(n, dtype=np.int64)
+        made = np.empty(ends[-1] if len(ends) else 0, np.int32)
+        for i in range(0, len(order), BLOCK):
+            part, times, upto = order[i : i + BLOCK], n[i : i + BLOCK], ends[i : i + BLOCK]
+            first = upto[0] - times[0]
+            # Where each id of the texts stands among those of the different words.
+            at = np.repeat(starts[part] - (upto - times), times) + np.arange(first, upto[-1])
+            made[first : upto[-1]] = ids[at]
+        found = np.split(made, ends[borders[:-1] + np.arange(len(texts) - 1)]) if len(texts) else []
         for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)):
-            made = self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False)
-            found[i] = np.array([*made.ids, END_ID], np.int32)
+            whole = self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False)
+            found[i] = np.array([*whole.ids, END_ID], np.int32)
         return found
 
     def _learn(self, words: set[bytes]) -> None:
@@ -152,13 +163,23 @@ def _encoder(path: str, most: int = CACHED_WORDS) -> WordEncoder:
     return _encoders[path, most]
 
 
+def _slices(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """(first row, row behind the last) of up to ROWS texts and SLICE bytes, or of one longer text."""
+    upto, i = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while i < len(texts):
+        before = upto[i - 1] if i else 0
+        j = int(np.searchsorted(upto, before + SLICE, side="right"))
+        yield i, (j := min(max(j, i + 1), i + ROWS))
+        i = j
+
+
 def _encode(path: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path, most)
         at = 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
+            for i, j in _slices(batch.column("text")):
+                part = batch.slice(i, j - i)
                 ids = encode(part.column("text"))
                 n = np.fromiter(map(len, ids), np.int64, len(ids))
                 ends = at + np.cumsum(n)
@@ -218,9 +239,13 @@ def read_tokens(spark, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of the documents in the files of ``path``.
 
     The totals that place each file among all ids come from the metadata columns alone
-    and have a row per file.
+    and have a row per file. Spark's reader holds the lists of a set number of rows, with some
+    twenty bytes an id, and more while they grow; so it gets as many rows as READ_IDS allows for
+    the longest document, and what was read is written before it gets others.
     """
     files = spark.read.parquet(path)
+    longest = files.agg(F.max("n_tokens")).first()[0] or 1
+    rows = max(1, min(int(spark.conf.get(READER_ROWS)), READ_IDS // longest))
     id_type = files.schema["doc_id"].dataType.simpleString()
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
@@ -228,9 +253,11 @@ def read_tokens(spark, path: str) -> DataFrame:
     sums = files.select("doc_id", "part", "at", "ids").mapInArrow(
         _checksums, f"doc_id {id_type}, part int, at bigint, n_tokens bigint, ids_crc32 bigint"
     )
-    return sums.join(totals, "part").select(
+    placed = sums.join(totals, "part").select(
         "doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
     )
+    with reading(spark, rows):
+        return written(placed, "token-rows")
 
 
 def encode_documents(

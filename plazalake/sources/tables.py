@@ -28,6 +28,7 @@ from plazalake.sources.widening import check_kept, fitted_frame, merged_type
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+READER_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 #: Fixed value: the JVM never compiles a method of more bytes of bytecode, it interprets it.
 COMPILED_BYTES = 8000
 #: Fixed value: the folder of rows without a partition value.
@@ -116,6 +117,11 @@ def compiled(spark: SparkSession) -> AbstractContextManager[None]:
     return _held(spark, METHOD_LIMIT, str(COMPILED_BYTES))
 
 
+def reading(spark: SparkSession, rows: int) -> AbstractContextManager[None]:
+    """Let Spark's Parquet reader hold so many rows at a time."""
+    return _held(spark, READER_ROWS, str(rows))
+
+
 def _written(df: DataFrame, table: str, overwrite: bool) -> int:
     """Write once and report the number of rows written, without a second pass."""
     seen = Observation()

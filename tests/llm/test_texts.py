@@ -240,6 +240,25 @@ def test_words_of_a_batch_are_looked_up_once_whatever_their_case():
     assert {b"the", b"the."} <= encoder.young.keys() and not {b"The", b"THE", b"THE."} & encoder.young.keys()
 
 
+def test_long_texts_are_encoded_and_read_by_their_size(spark, frame, monkeypatch):
+    """Workers get batches by bytes, and Spark's reader as many rows as the longest document allows."""
+    import pyarrow as pa
+
+    texts = ["one two", "", "w " * 3000, "é" * 10, "a b c", "it's. " * 700]
+    for name, value in (("SLICE", 30), ("BLOCK", 7), ("READ_IDS", 6500)):
+        monkeypatch.setattr(token_files, name, value)
+    assert list(token_files._slices(pa.array(["left out", *texts]).slice(1))) == [(0, 2), (2, 3), (3, 5), (5, 6)]
+    encoder = token_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert [ids.tolist() for ids in encoder(texts)] == whole
+    held, reading = [], token_files.reading
+    monkeypatch.setattr(token_files, "reading", lambda s, rows: held.append(rows) or reading(s, rows))
+    rows, before = [*enumerate(texts)], spark.conf.get(token_files.READER_ROWS)
+    got = token_files.encode_documents(frame(rows))
+    assert held == [2] and spark.conf.get(token_files.READER_ROWS) == before
+    assert sorted(map(tuple, got.collect())) == plain_tokens(rows)
+
+
 def test_token_file_layout(spark, frame, tmp_path):
     import pyarrow.parquet as pq
 
