@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from plazalake.llm import archives, pii, token_files, toxicity
+from plazalake.llm import archives, fair_mix, pii, token_files, toxicity
 from plazalake.llm.queries import QUERIES
 
 
@@ -351,3 +352,12 @@ def test_pipeline(spark, sf_dir):
         assert len(after) == len(set(after)) or i > 2
     assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert corpus_pipeline.run(spark, sf_dir).count() == docs.count()
+
+
+def test_mixing_stage_leaves_documents_without_words(spark, frame):
+    texts = [None, "", " \n", *("word " * n for n in range(1, 40))]
+    rows = [(i, t, "en", None if i % 7 == 3 else f"s{i % 3}", 1) for i, t in enumerate(texts)]
+    docs = frame([*rows, (None, None, None, None, None), (99, "a b", None, None, None)])
+    taken = {r["doc_id"]: r["taken"] // r["size"] for r in fair_mix.mix(docs).collect() if r["size"]}
+    got = Counter(r["doc_id"] for r in corpus_pipeline.mixed(spark, docs, "").collect())
+    assert got == +Counter(taken) and not {0, 1, 2} & got.keys() and 2 in got.values()
